@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dirlens.llm.near_dedup import op6_minhash_near_dedup
+from dirlens.llm.substring_dedup import op9_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op6_minhash_near_dedup,
+        op9_substring_dedup,
     )
 }
 
