@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dirlens.llm import line_dedup
+from dirlens.llm.language_id import op5_language_id
 from dirlens.llm.line_dedup import op3_line_dedup
 from dirlens.llm.near_dedup import op6_minhash_near_dedup
 from dirlens.llm.substring_dedup import op9_substring_dedup
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_line_dedup,
+        op5_language_id,
         op6_minhash_near_dedup,
         op9_substring_dedup,
     )

@@ -19,6 +19,8 @@ LOWER_BYTE = np.arange(256, dtype=np.uint8)
 LOWER_BYTE[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: All ASCII bytes but letters and digits.
+IS_MARK = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -86,17 +88,17 @@ def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
 
 
 class Words:
-    """The words `[^\\x20\\x09-\\x0D]+` of texts lo..hi of a buffer.
+    """The words `[^\\x20\\x09-\\x0D]+` of texts lo..hi of a buffer; other separators by `apart`.
 
     starts, ends: byte positions in `data`; bounds[i]..bounds[i+1]: the words of text i.
     """
 
-    def __init__(self, body: np.ndarray, offsets: np.ndarray, lo: int, hi: int, lower: bool = False):
+    def __init__(self, body: np.ndarray, offsets: np.ndarray, lo: int, hi: int, lower: bool = False, apart: np.ndarray = IS_SPACE):
         self.data = body[offsets[lo] : offsets[hi]]
         if lower:
             self.data = LOWER_BYTE[self.data]
         self.cuts = offsets[lo : hi + 1] - offsets[lo]
-        word = ~IS_SPACE[self.data]
+        word = ~apart[self.data]
         first, last = word.copy(), word.copy()
         first[1:] &= ~word[:-1]
         last[:-1] &= ~word[1:]
