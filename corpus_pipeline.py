@@ -1,14 +1,63 @@
-"""The corpus pipeline: stages over `documents`, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages over `documents`, each written as Parquet and reread by the next.
+
+A stage takes (spark, docs, sf_dir). All but the last return the columns of documents; the last
+returns the training order of what was kept.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dirlens.llm import decontaminate, language_id, line_dedup, mixing, near_dedup, tables
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is not clear, go."""
+    return language_id.keep_identified(docs)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go, but for their first; n_chars is that of the new text."""
+    return line_dedup.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, by five-word shingles and a similarity of 0.8, stays."""
+    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+
+
+def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return decontaminate.drop_leaks(docs, tables.read(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training order; every document is in it."""
+    return mixing.mix(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_documents),
+    ("decontaminate", decontaminate_documents),
+    ("mixing", mix_sources),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: Naive Bayes over hashed n-grams and minima of shingle hashes are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """STAGES over documents; what each returns is written under the shared checkpoint folder."""
+    top = f"{tables.checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = tables.read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{top}/{name}")
+        docs = spark.read.parquet(f"{top}/{name}")
+    return docs

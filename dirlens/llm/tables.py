@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it from there.
-
-    The folder is the session's spark.checkpoint.dir; one of our own only where that is unset.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder: spark.checkpoint.dir; one of our own only where that is unset."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dirlens-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dirlens-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write df to the shared checkpoint folder and read it from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
