@@ -1,19 +1,21 @@
 """MinHash near-duplicate detection by a signature-coordinate inverted join.
 
-Method. Every distinct shingle set gets a signature of `coordinates` minima. It is posted under
-each (coordinate, value) pair of a prefix: a pair of sets with at least `matches` equal
-coordinates shares one of any `coordinates - matches + 1` of them, so only those are posted.
-Pairs that collide are merged in two rounds, both linear in what they ship:
+Method. Every distinct shingle set gets a signature of `coordinates` minima and is posted under
+each (coordinate, value) pair of a prefix of them. The prefix is so long that a pair at the
+threshold collides in none of it with a probability below 1e-6, and `matches` is the largest
+number of equal coordinates that such a pair misses with a probability below 1e-6.
 
 1. skip: each posting list offers its smallest member as pivot, collisions with a pivot are
-   counted, and each set is compared with the pivot it collides with most. Members of a large
-   group of copies are joined to their pivot here, so their lists need no pairs.
-2. the rest: lists whose members are still in two or more components are merged pair by pair in
-   blocks of bounded size; pairs in one component are skipped, and only pairs with at least
-   `matches` equal coordinates are kept.
+   counted, and each set is confirmed against the pivot it collides with most. A large group of
+   copies is joined to its pivot here, and its lists are done.
+2. merge: in lists whose members are still in two or more components, pairs with `matches` equal
+   coordinates join components into clusters; a list gives a spanning forest, not its pairs.
+3. confirm: the members of each cluster meet, with their texts, in blocks of bounded size. Pairs
+   in one component are skipped, pairs with `matches` equal coordinates are confirmed, and a
+   block gives a spanning forest of its links.
 
-Every link is confirmed on the full shingle sets. `matches` is the largest number that a pair at
-the threshold misses with a probability below 1e-6. Sets are told apart by 64-bit hashes.
+What is shipped is linear in the members, but for clusters over a block. Every link is confirmed
+on the full shingle sets. Sets are told apart by 64-bit hashes.
 
 Input cases. Text null, empty or without a word: an empty set, linked with nothing. Fewer words
 than a shingle: the whole sequence is the one shingle. Repeated rows: both stay in the result,
@@ -32,13 +34,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirlens.llm import tables, text
+from dirlens.llm.groups import whole_groups
 
 COORDINATES = 32
-#: Members compared pair by pair in one block, and members compared with one pivot in one task.
-BLOCK, STAR = 2048, 512
+#: Members of a list and members of a cluster compared pair by pair in one block; members compared
+#: with one pivot in one task.
+BLOCK, TEXTS, STAR = 2048, 256, 512
+MISS = 1e-6
 
 
-def matches_needed(coordinates: int, num: int, den: int, miss: float = 1e-6) -> int:
+def matches_needed(coordinates: int, num: int, den: int, miss: float = MISS) -> int:
     """Largest t with P(Binomial(coordinates, num/den) < t) <= miss, at least 1."""
     p, total, t = num / den, 0.0, 0
     while t < coordinates:
@@ -49,6 +54,11 @@ def matches_needed(coordinates: int, num: int, den: int, miss: float = 1e-6) ->
     return max(1, t)
 
 
+def prefix_needed(num: int, den: int, miss: float = MISS) -> int:
+    """Least p with (1 - num/den)**p <= miss."""
+    return 1 if num >= den else math.ceil(math.log(miss) / math.log(1 - num / den))
+
+
 def shingle_sets(words: text.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, concatenated, and their bounds."""
     hashes = words.hashes()
@@ -72,10 +82,16 @@ def shingle_sets(words: text.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return got[new], kept[bounds]
 
 
-def _signer(n: int, coordinates: int, prefix: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    rng = np.random.default_rng(7)
-    a = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def signatures(sets: np.ndarray, at: np.ndarray, coordinates: int) -> np.ndarray:
+    """Minima of the sets that start at `at` and fill `sets`, one row each."""
+    a = np.random.default_rng(7).integers(1, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.zeros((len(at), coordinates), dtype=np.uint32)
+    for k in range(coordinates if len(at) else 0):
+        out[:, k] = np.minimum.reduceat((sets * a[k] >> np.uint64(32)).astype(np.uint32), at)
+    return out
+
 
+def _signer(n: int, coordinates: int, prefix: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = text.buffers(batch.column(2))
@@ -84,11 +100,9 @@ def _signer(n: int, coordinates: int, prefix: int) -> Callable[[Iterator[pa.Reco
                 size = np.diff(bounds)
                 some = size > 0
                 at = bounds[:-1][some]
-                signature = np.zeros((int(some.sum()), coordinates), dtype=np.uint32)
+                signature = signatures(sets, at, coordinates)
                 node = np.zeros(hi - lo, dtype=np.uint64)
                 if len(at):
-                    for k in range(coordinates):
-                        signature[:, k] = np.minimum.reduceat((sets * a[k] >> np.uint64(32)).astype(np.uint32), at)
                     node[some] = text.mix(np.add.reduceat(text.mix(sets * text.BASE), at) + size[some].astype(np.uint64))
                 posts = text.mix((signature[:, :prefix].astype(np.uint64) << np.uint64(8)) | np.arange(prefix, dtype=np.uint64))
                 many = np.zeros(hi - lo + 1, dtype=np.int32)
@@ -149,52 +163,87 @@ def confirmed(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) ->
     return dealt.mapInArrow(_confirmer(n, num, den), "a long, b long")
 
 
+def forest(component: np.ndarray, side: np.ndarray, signature: np.ndarray, least: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Pairs that join components, from those with `least` equal coordinates that `linked` confirms.
+
+    linked: of an item and others in order, the first few linked ones; those before the last of
+    them that it leaves out are not linked. side: if two values occur, only pairs across them are
+    looked at.
+    """
+    label = np.unique(component, return_inverse=True)[1]
+    every = np.arange(len(label))
+    across = side.min() != side.max()
+    for x in every[side == side.min()].tolist() if across else every.tolist():
+        other = every[(side != side[x]) & (label != label[x])] if across else every[x + 1 :][label[x + 1 :] != label[x]]
+        if not len(other):
+            continue
+        other = other[(signature[other] == signature[x]).sum(axis=1) >= least]
+        while len(other):
+            sure = linked(x, other)
+            if not len(sure):
+                break
+            joined, first = np.unique(label[sure], return_index=True)
+            for y in sure[first].tolist():
+                yield x, y
+            label[np.isin(label, joined)] = label[x]
+            other = other[(other > sure[-1]) & (label[other] != label[x])]
+
+
 def _merger(coordinates: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (key, i, j, block, component, v, signature) in order of (key, i, j)."""
 
-    def pairs(component: np.ndarray, v: np.ndarray, block: np.ndarray, signature: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        left, right = [], []
-        first = np.flatnonzero(block == block[0]) if not same else np.arange(len(v))
-        second = np.flatnonzero(block != block[0]) if not same else first
-        for x in first:
-            other = second[second > x] if same else second
-            other = other[component[other] != component[x]]
-            if len(other):
-                hit = other[(signature[other] == signature[x]).sum(axis=1) >= least]
-                left.append(np.minimum(v[x], v[hit]))
-                right.append(np.maximum(v[x], v[hit]))
-        return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        for table, at in whole_groups(batches, 3):
+            block, component, v = (table.column(c).to_numpy() for c in (3, 4, 5))
+            ids = np.stack([table.column(c).to_numpy() for c in (1, 2)], axis=1)
+            signature = text.buffers(table.column(6))[0].view(np.uint32).reshape(-1, coordinates)
+            found = []
+            for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                if e - s > 1 and (ids[s, 0] == ids[s, 1] or block[s:e].min() != block[s:e].max()):
+                    found += [(v[s + x], v[s + y]) for x, y in forest(component[s:e], block[s:e], signature[s:e], least, lambda _, other: other)]
+            yield _pairs(found)
+
+    return merge
 
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            table = table.combine_chunks()
-            ids = np.stack([table.column(c).to_numpy() for c in range(3)], axis=1)
-            at = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1), [True]]))
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+
+def _cluster_confirmer(n: int, num: int, den: int, coordinates: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (cluster, i, j, block, component, v, text) in order of (cluster, i, j)."""
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, 3):
             block, component, v = (table.column(c).to_numpy() for c in (3, 4, 5))
-            body, _ = text.buffers(table.column(6))
-            signature = body.view(np.uint32).reshape(-1, coordinates)
-            got = [pairs(component[s:e], v[s:e], block[s:e], signature[s:e], bool(ids[s, 1] == ids[s, 2])) for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True) if e - s > 1]
-            a = np.concatenate([x for x, _ in got]) if got else np.zeros(0, np.int64)
-            b = np.concatenate([x for _, x in got]) if got else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            ids = np.stack([table.column(c).to_numpy() for c in (1, 2)], axis=1)
+            body, offsets = text.buffers(table.column(6))
+            found: list[tuple[int, int]] = []
+            for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                if component[s:e].min() == component[s:e].max() or ids[s, 0] != ids[s, 1] and block[s:e].min() == block[s:e].max():
+                    continue
+                sets, bounds = shingle_sets(text.Words(body, offsets, s, e, lower=True), n)
+                size = np.diff(bounds)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in range(3)]
-            end = batch.num_rows  # rows of the last group may go on in the next batch
-            while end and [batch.column(c)[end - 1].as_py() for c in range(3)] == last:
-                end -= 1
-            if end:
-                yield flush(pa.Table.from_batches([*held, batch.slice(0, end)]))
-                held = []
-            held.append(batch.slice(end))
-        if held:
-            yield flush(pa.Table.from_batches(held))
+                def linked(x: int, other: np.ndarray, sets: np.ndarray = sets, bounds: np.ndarray = bounds, size: np.ndarray = size) -> np.ndarray:
+                    mine = sets[bounds[x] : bounds[x + 1]]
+                    for y in other[den * np.minimum(size[other], size[x]) >= num * np.maximum(size[other], size[x])].tolist():
+                        its = sets[bounds[y] : bounds[y + 1]]
+                        both = int(np.count_nonzero(mine[np.minimum(np.searchsorted(mine, its), len(mine) - 1)] == its))
+                        if den * both >= num * (len(mine) + len(its) - both):
+                            return np.array([y])
+                    return other[:0]
 
-    return merge
+                found += [(v[s + x], v[s + y]) for x, y in forest(component[s:e], block[s:e], signatures(sets, bounds[:-1], coordinates), least, linked)]
+            yield _pairs(found)
+
+    return confirm
+
+
+def _blocked(rows: DataFrame, key: str) -> DataFrame:
+    """rows (key, v, blocks, ...) once for each pair of blocks (i, j) that their own block is of."""
+    own = rows.withColumn("block", F.pmod(F.hash("v", F.lit(3)), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return own.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, coordinates: int = COORDINATES) -> DataFrame:
@@ -203,8 +252,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     Rows are linked if den * |A & B| >= num * |A | B| for their sets of n-word shingles, A-Z in
     lower case. component_id is the smallest doc_id reachable; kept is doc_id = component_id.
     """
-    least = matches_needed(coordinates, num, den)
-    prefix = coordinates - least + 1
+    least, prefix = matches_needed(coordinates, num, den), min(coordinates, prefix_needed(num, den))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.xxhash64("doc_id", "text"))
     signed = tables.cut(docs.select("doc_id", "rid", "text").mapInArrow(_signer(n, coordinates, prefix), "doc_id long, rid long, n_shingles long, node long, posts array<long>, signature binary"))
     some = signed.where("node is not null")
@@ -223,13 +271,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     named = listed.join(label.withColumnRenamed("id", "v"), "v", "left").select("key", "v", F.coalesce("component", "v").alias("component"))
     open_lists = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
     open_rows = named.join(open_lists.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key").join(chosen.select(F.col("rid").alias("v"), "signature"), "v")
-    own = open_rows.withColumn("block", F.pmod(F.hash("v", F.lit(3)), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocked = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "v", "signature")
-    dealt = blocked.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block")
-    rest = tables.cut(dealt.mapInArrow(_merger(coordinates, least), "a long, b long").distinct())
-    if not rest.isEmpty():
-        links = tables.cut(links.unionByName(confirmed(docs, rest, n, num, den)))
-        label = tables.components(links)
+    dealt = _blocked(open_rows, "key").select("key", "i", "j", "block", "component", "v", "signature").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    near = tables.cut(dealt.mapInArrow(_merger(coordinates, least), "a long, b long").distinct())
+    if not near.isEmpty():
+        cluster = tables.components(links.unionByName(near)).withColumnRenamed("component", "cluster")
+        parts = cluster.withColumnRenamed("id", "v").join(label.withColumnRenamed("id", "v"), "v", "left").select("cluster", "v", F.coalesce("component", "v").alias("component"))
+        mixed = parts.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+        met = _blocked(parts.join(mixed.select("cluster", F.ceil(F.col("size") / TEXTS).cast("int").alias("blocks")), "cluster"), "cluster")
+        rows = docs.withColumnRenamed("rid", "v").join(met, "v").select("cluster", "i", "j", "block", "component", "v", "text")
+        dealt = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+        more = dealt.mapInArrow(_cluster_confirmer(n, num, den, coordinates, least), "a long, b long")
+        label = tables.components(links.unionByName(more))
 
     group = first.join(label.withColumnRenamed("id", "v"), "v", "left").select("node", F.coalesce("component", "v").alias("group"))
     smallest = some.groupBy("node").agg(F.min("doc_id").alias("d")).join(group, "node").groupBy("group").agg(F.min("d").alias("component_id"))
