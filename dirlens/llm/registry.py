@@ -7,21 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dirlens.llm import line_dedup, mixing
+from dirlens.llm.audio import op1_audio_features
 from dirlens.llm.decontaminate import op4_decontaminate
 from dirlens.llm.language_id import op5_language_id
 from dirlens.llm.line_dedup import op3_line_dedup
 from dirlens.llm.mixing import op2_temperature_mixing
 from dirlens.llm.near_dedup import op6_minhash_near_dedup
+from dirlens.llm.quality import op8_quality_classifier
 from dirlens.llm.substring_dedup import op9_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_audio_features,
         op2_temperature_mixing,
         op3_line_dedup,
         op4_decontaminate,
         op5_language_id,
         op6_minhash_near_dedup,
+        op8_quality_classifier,
         op9_substring_dedup,
     )
 }
