@@ -5,7 +5,8 @@ in blocks that are the shuffle partitions of its windows' hashes:
 
 1. anchors: the least k-word gram of each window (k < window) marks it. Equal windows have equal
    anchors, so an anchor that occurs once rules out all its windows. Only anchors, one for about
-   every twelve words, are shuffled for this.
+   every twelve words, are shuffled for this, and a hash of each text's words: of texts with the
+   same words each is one factor, and one of them stands for all in the index.
 2. index: windows under a repeated anchor are hashed and counted, with the first and the last
    place at which each occurs.
 3. parse: the windows of a text that occur elsewhere, in order, each with its reference place,
@@ -51,7 +52,10 @@ def _least(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def _anchors(window: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(rid, text) to (anchor, rid, run): run is 64 * first window + number of windows."""
+    """(rid, text) to (anchor, rid, run): run is 64 * first window + number of windows.
+
+    A text that has a window gives one more row, of a hash of all its words and the run 0.
+    """
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,7 +63,8 @@ def _anchors(window: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             body, offsets = text.buffers(batch.column(1))
             for lo, hi in text.slices(offsets):
                 words = text.Words(body, offsets, lo, hi)
-                grams, _, of = text.run_hashes(words.hashes(), words.bounds, k)
+                hashes = words.hashes()
+                grams, _, of = text.run_hashes(hashes, words.bounds, k)
                 many = np.maximum(words.counts() - window + 1, 0)
                 total = int(many.sum())
                 if not total:
@@ -70,23 +75,31 @@ def _anchors(window: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
                 size = np.diff(np.append(at, total))
                 doc = np.repeat(np.arange(lo, hi), many)[at]
-                yield pa.RecordBatch.from_arrays([pa.array(text.signed(grams[place[at]])), pa.array(rid[doc]), pa.array(number[at] * 64 + size)], names=["anchor", "rid", "run"])
+                have = np.flatnonzero(many)
+                whole = text.mix(text.span_hash(text.prefix(hashes), words.bounds[have], words.bounds[have + 1]))
+                anchor = np.concatenate([grams[place[at]], whole])
+                run = np.concatenate([number[at] * 64 + size, np.zeros(len(have), np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(text.signed(anchor)), pa.array(np.concatenate([rid[doc], rid[lo:hi][have]])), pa.array(run)], names=["anchor", "rid", "run"])
 
     return mark
 
 
-def _windows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(rid, text, runs, ...) to (hash, rid, at): at is rid + window number, modulo 2**64."""
+def _windows(window: int, with_rid: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(rid, text, runs, doc_id, copy) to (hash, at, whether copy is set or rid).
+
+    at is rid + window number, modulo 2**64.
+    """
 
     def list_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rid = batch.column(0).to_numpy().view(np.uint64)
             body, offsets = text.buffers(batch.column(1))
+            copied = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
             lists = batch.column(2)
             runs, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
             for lo, hi in text.slices(offsets):
                 words = text.Words(body, offsets, lo, hi)
-                own = runs[cuts[lo] : cuts[hi]]
+                own = runs[cuts[lo] : cuts[hi]]  # the run 0 has no windows
                 size = own & 63
                 first = own >> 6
                 doc = np.repeat(np.arange(hi - lo), np.diff(cuts[lo : hi + 1]))
@@ -95,7 +108,9 @@ def _windows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 start = words.bounds[doc] + number
                 got = text.span_hash(text.prefix(words.hashes()), start, start + window)
                 whose = rid[lo:hi][doc]
-                yield pa.RecordBatch.from_arrays([pa.array(text.signed(got)), pa.array(whose.view(np.int64)), pa.array(text.signed(whose + number.astype(np.uint64)))], names=["hash", "rid", "at"])
+                at = pa.array(text.signed(whose + number.astype(np.uint64)))
+                third = pa.array(whose.view(np.int64)) if with_rid else pa.array(copied[lo:hi][doc])
+                yield pa.RecordBatch.from_arrays([pa.array(text.signed(got)), at, third], names=["hash", "at", "rid" if with_rid else "copy"])
 
     return list_windows
 
@@ -113,29 +128,30 @@ def factors(number: np.ndarray, reference: np.ndarray, window: int) -> list[tupl
 def _remove(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     spans = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("reference", pa.int64())]))
 
+    def parse(words: list[bytes], rid: int, copy: int | None, marks: pa.ListScalar) -> list[tuple[int, int, int]]:
+        if copy is not None:
+            return [(0, len(words), copy)]
+        if not marks.is_valid:
+            return []
+        at = marks.values.field(0).to_numpy().view(np.uint64) - np.uint64(rid % (1 << 64))
+        order = np.argsort(at)
+        return factors(at[order].view(np.int64), marks.values.field(1).to_numpy().view(np.uint64)[order], window)
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for cut in range(0, whole.num_rows, 512):
                 batch = whole.slice(cut, 512)
                 n, gone, kept, parsed = [], [], [], []
-                for rid, body, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                for rid, body, copy, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), strict=True):
                     words = (body or "").encode().split()
-                    found: list[tuple[int, int, int]] = []
-                    removed = 0
-                    if marks.is_valid and len(marks.values):
-                        at = marks.values.field(0).to_numpy().view(np.uint64) - np.uint64(rid % (1 << 64))
-                        reference = marks.values.field(1).to_numpy().view(np.uint64)
-                        order = np.argsort(at)
-                        found = factors(at[order].view(np.int64), reference[order], window)
+                    n.append(len(words))
+                    found = parse(words, rid, copy, marks)
+                    if found:
                         keep = np.ones(len(words), dtype=bool)
                         for start, length, _ in found:
                             keep[start : start + length] = False
-                        removed = len(words) - int(keep.sum())
-                        n.append(len(words))
                         words = list(compress(words, keep.tolist()))
-                    else:
-                        n.append(len(words))
-                    gone.append(removed)
+                    gone.append(n[-1] - len(words))
                     kept.append(b" ".join(words).decode())
                     parsed.append([{"start": a, "length": b, "reference": c} for a, b, c in found])
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(parsed, spans)], names=["doc_id", "n_words", "n_removed", "kept_text", "factors"])
@@ -152,14 +168,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         raise ValueError("0 < anchor < window <= anchor + 62")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.xxhash64("doc_id", "text"))
     runs = docs.select("rid", "text").mapInArrow(_anchors(window, anchor), "anchor long, rid long, run long")
-    repeated = runs.groupBy("anchor").count().where("count > 1").select("anchor")
-    likely = tables.cut(runs.join(repeated, "anchor", "left_semi").groupBy("rid").agg(F.collect_set("run").alias("runs")))
-    # doc_id goes along so that this join and the last one read the same exchange of the texts
-    windows = docs.join(likely, "rid").select("rid", "text", "runs", "doc_id").mapInArrow(_windows(window), "hash long, rid long, at long")
-    index = windows.groupBy("hash").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.max("at").alias("last")).where("n > 1").select("hash", "first", "last")
+    repeated = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("rid").alias("first"), F.max("rid").alias("last")).where("n > 1").drop("n")
+    hits = runs.join(repeated, "anchor")
+    other = F.when(F.col("run") == 0, F.when(F.col("rid") == F.col("first"), F.col("last")).otherwise(F.col("first")))
+    stands = F.max(F.when(F.col("run") == 0, (F.col("rid") == F.col("first")).cast("int")))
+    likely = tables.cut(hits.groupBy("rid").agg(F.collect_set("run").alias("runs"), F.max(other).alias("copy"), stands.alias("stands")))
+    # doc_id goes along so that these joins and the last one read the same exchange of the texts
+    texts = docs.join(likely.where("copy is null or stands = 1"), "rid").select("rid", "text", "runs", "doc_id", "copy")
+    counted = texts.mapInArrow(_windows(window), "hash long, at long, copy boolean")
+    index = counted.groupBy("hash").agg(F.count("*").alias("n"), F.max("copy").alias("copy"), F.min("at").alias("first"), F.max("at").alias("last")).where("n > 1 or copy").select("hash", "first", "last")
+    own = texts.where("copy is null").mapInArrow(_windows(window, with_rid=True), "hash long, at long, rid long")
     reference = F.when(F.col("at") == F.col("first"), F.col("last")).otherwise(F.col("first"))
-    marks = windows.join(index, "hash").select("rid", F.struct("at", reference.alias("reference")).alias("mark")).groupBy("rid").agg(F.collect_set("mark").alias("marks"))
-    return docs.join(marks, "rid", "left").select("doc_id", "rid", "text", "marks").mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, kept_text string, factors array<struct<start:int,length:int,reference:long>>")
+    marks = own.join(index, "hash").select("rid", F.struct("at", reference.alias("reference")).alias("mark")).groupBy("rid").agg(F.collect_set("mark").alias("marks"))
+    found = marks.select("rid", F.lit(None).cast("long").alias("copy"), "marks").unionByName(likely.where("copy is not null").select("rid", "copy"), allowMissingColumns=True)
+    kind = "doc_id long, n_words long, n_removed long, kept_text string, factors array<struct<start:int,length:int,reference:long>>"
+    return docs.join(found, "rid", "left").select("doc_id", "rid", "text", "copy", "marks").mapInArrow(_remove(window), kind)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
