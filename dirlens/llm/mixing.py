@@ -31,6 +31,8 @@ from dirlens.llm import tables
 
 ENTROPY, REPEATS, SEED = 0.95, 4.0, 17
 BLOCK_TOKENS, MOST_BLOCKS, STEPS = 65_536, 4096, 60
+#: Sources up to which their plan is broadcast; more are joined by shuffling.
+BROADCAST_SOURCES = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -102,7 +104,7 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     rows = tables.cut(rows)
     tokens = {r["source"]: r["t"] for r in rows.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
     planned = spark.createDataFrame(plan(tokens, entropy, repeats, budget), "source string, weight double, whole long, rest long, blocks long")
-    dealt = rows.join(planned, "source").withColumn("block", F.col("number") % F.col("blocks"))
+    dealt = rows.join(F.broadcast(planned) if len(tokens) <= BROADCAST_SOURCES else planned, "source").withColumn("block", F.col("number") % F.col("blocks"))
     last = number(seeded, F.col("whole").cast("string"), F.col("source"), F.col("block").cast("string"))
     sizes = dealt.where("rest > 0").groupBy("source", "block", "whole", "rest").agg(F.sum("n_tokens").alias("size")).withColumn("place", last)
     earlier = Window.partitionBy("source").orderBy("place", "block").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,25 +1,13 @@
-"""Cutting lineage through the cluster's shared folder, and connected components of an edge table."""
+"""Tables of a folder, and connected components of an edge table."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dirlens.operators.lineage import checkpoint_folder, cut
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder: spark.checkpoint.dir; one of our own only where that is unset."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dirlens-checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+__all__ = ["checkpoint_folder", "components", "cut", "read"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
