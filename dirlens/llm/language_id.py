@@ -148,9 +148,9 @@ def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """docs without the rows whose language stays undetermined or scores below min_score."""
-    found = identify(docs.withColumnRenamed("found", "_found") if "found" in docs.columns else docs, docs)
-    kept = found.where((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= min_score)).drop("found")
-    return kept.withColumnRenamed("_found", "found") if "found" in docs.columns else kept
+    found = docs.select(F.struct("*").alias("row"), predicted(docs.sparkSession, fit(docs))("text").alias("found"))
+    kept = found.where((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= min_score))
+    return kept.select("row.*")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ document-level step that follows.
 
 Input cases. Text null or empty: no lines. Lines shorter than `min_bytes` are left alone and are in
 no class. Equal lines, ties: the first is the least (doc_id, number). Repeated rows: each is
-treated alike. A null doc_id sorts first. Other columns are ignored, whatever their names.
+treated alike. A null doc_id sorts last. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -213,7 +213,7 @@ def _compare(tau: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 def _filter(lists: DataFrame) -> bytes:
     """A bit for each list's key, by its low bits; at most 2**FILTER_BITS / 64 rows come to the driver."""
     place = F.col("key").bitwiseAND((1 << FILTER_BITS) - 1)
-    words = lists.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(key & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    words = lists.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     found = words.toArrow()
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
@@ -244,7 +244,7 @@ def line_classes(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, mi
     found = docs.mapInArrow(_occurrences(min_bytes), "doc_id long, line_no int, n_lines int, line long")
     lines = found.join(named, "line", "left").select("doc_id", "line_no", "n_lines", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     places = lines.groupBy("class", "n_lines", "line_no").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"))
-    classes = places.groupBy("class").agg(F.count("*").alias("n_places"), F.sum("n").alias("n"), F.min(F.struct("d", "line_no")).alias("first"))
+    classes = places.groupBy("class").agg(F.count("*").alias("n_places"), F.sum("n").alias("n"), F.min(F.struct(F.col("d").isNull().alias("unnamed"), "d", "line_no")).alias("first"))
     out = lines.join(classes.where("n > 1"), "class", "left")
     first_doc = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.d"))
     first_line = F.when(F.col("first").isNull(), F.col("line_no")).otherwise(F.col("first.line_no"))
@@ -258,12 +258,13 @@ def drop_boilerplate(docs: DataFrame, **settings: int) -> DataFrame:
 
     A document left without a word goes; one that had none before stays.
     """
-    gone = line_classes(docs, **settings).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    joined = docs.withColumn("_key", F.col("doc_id").cast("long")).join(gone.withColumnRenamed("doc_id", "_key"), "_key", "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    new = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-    return new.where(F.col("_gone").isNull() | F.col("text").rlike(r"[^ \t\n\x0B\f\r]")).select(*docs.columns)
+    gone = line_classes(docs, **settings).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    # the row goes along as one column, so that its names don't meet ours
+    joined = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id")).join(gone, F.col("id").eqNullSafe(gone["doc_id"]), "left")
+    kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains("gone", i)), "\n")
+    new = joined.withColumn("new", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept))
+    left = new.where(F.col("gone").isNull() | F.col("new").rlike(r"[^ \t\n\x0B\f\r]"))
+    return left.select(*[F.col("new").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,9 +126,12 @@ def features(vectors: np.ndarray, hashes: np.ndarray, bounds: np.ndarray) -> np.
 
 
 class Network:
-    """logit(x) = relu((x - mean) / scale @ w1 + b1) @ w2 + b2, divided by the temperature."""
+    """logit(x) = relu((x - mean) / scale @ w1 + b1) @ w2 + b2, divided by the temperature.
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, seed: int = 11, epochs: int = 60, batch: int = 256):
+    Trained for `epochs` passes, or as many as make `steps` steps where rows are few.
+    """
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, seed: int = 11, epochs: int = 60, steps: int = 2000, batch: int = 256):
         rng = np.random.default_rng(seed)
         self.constant = None
         if len(y) < 10 or y.min() == y.max():
@@ -138,6 +141,7 @@ class Network:
         x = (x - self.mean) / self.scale
         order = rng.permutation(len(y))
         check, train = order[: len(y) // 5], order[len(y) // 5 :]
+        epochs = max(epochs, steps * batch // len(train))
         p = [rng.normal(0, (2 / DIM) ** 0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, (1 / HIDDEN) ** 0.5, HIDDEN), np.zeros(1)]
         m, v, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
         for epoch in range(epochs):
