@@ -2,23 +2,60 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dirlens.functions import text, words
 
 
+RESULT = "struct<role:string,department:string,type:string>"
+#: A rule: any of keys and, if there are further ones, any of these.
+RULES = f"array<struct<keys:array<string>,further:array<string>,result:{RESULT}>>"
+
+
 def _role(role: Column | str, department: str, kind: str) -> Column:
     return F.struct((F.lit(role) if isinstance(role, str) else role).alias("role"), F.lit(department).alias("department"), F.lit(kind).alias("type"))
 
 
-def _subjects(c: Column) -> list[tuple[Column, Column]]:
-    return [(F.contains(c, F.lit(k)), _role(role, department, words.TEACHER)) for k, role, department in words.SUBJECTS]
+def _rule(keys: tuple[str, ...], further: tuple[str, ...], role: str, department: str, kind: str) -> dict:
+    return {"keys": keys, "further": further, "result": {"role": role, "department": department, "type": kind}}
+
+
+def _subject_rules(keys: tuple[str, ...] = ()) -> list[dict]:
+    """A rule for each subject, under keys if given."""
+    return [_rule(keys or (k,), (k,) if keys else (), role, department, words.TEACHER) for k, role, department in words.SUBJECTS]
+
+
+def _title_rules() -> list[dict]:
+    out = []
+    for keys, further, role, department, kind in words.TITLE_RULES:
+        if role is None:  # the subject's, or what stands in the next two places
+            out += [*_subject_rules(keys), _rule(keys, further, department, kind, words.TEACHER)]
+        else:
+            out.append(_rule(keys, further, role, department, kind))
+    return out
+
+
+def _address_rules() -> list[dict]:
+    *rules, (last_keys, *last) = words.ADDRESS_RULES
+    return [*[_rule(keys, (), *rest) for keys, *rest in rules], *_subject_rules(), _rule(last_keys, (), *last)]
+
+
+def first_rule(c: Column, rules: list[dict]) -> Column:
+    """The result of the first rule that c meets, or null. The rules are one literal, so plans stay small."""
+    table = F.from_json(F.lit(json.dumps(rules)), RULES)
+
+    def meets(r: Column) -> Column:
+        return F.exists(r["keys"], lambda k: F.contains(c, k)) & ((F.size(r["further"]) == 0) | F.exists(r["further"], lambda k: F.contains(c, k)))
+
+    return F.get(F.filter(table, meets), F.lit(0))["result"]
 
 
 def subject(c: Column) -> Column:
     """The struct of the first subject keyword contained in c, or null."""
-    return text.first_hit(_subjects(c), F.lit(None))
+    return first_rule(c, _subject_rules())
 
 
 def infer_role(name: Column, title: Column, email: Column, directory_url: Column, school: Column) -> Column:
@@ -33,24 +70,13 @@ def infer_role(name: Column, title: Column, email: Column, directory_url: Column
 
 
 def _infer(x: Column) -> Column:
-    upper, shown, low, email, address, place = (x[k] for k in ("name", "title", "low", "email", "address", "place"))
-    cases = [(F.rlike(upper, F.lit(rf"(?:,\s*|\s){key}\b")), _role(role, "Health Services", words.HEALTH)) for key, role in words.NURSES]
-    titled = ~low.isin(*words.NO_TITLE)
-    by_title: list[tuple[Column, Column]] = []
-    for keys, further, role, department, kind in words.TITLE_RULES:
-        hit = text.any_of(low, keys)
-        if role is None:  # the subject's, or what stands in the next two places
-            by_title += [(hit & found, value) for found, value in _subjects(low)]
-            role, department, kind = department, kind, words.TEACHER
-        by_title.append((hit & text.any_of(low, further) if further else hit, _role(role, department, kind)))
-    cases.append((titled, text.first_hit(by_title, _role(shown, "General Staff", words.OTHER))))
-    cases.append((F.contains(place, F.lit("health")) & F.contains(place, F.lit("profession")), _role("Health Professions Staff", "Health Services", words.HEALTH)))
-    *rules, (last_keys, *last) = words.ADDRESS_RULES
-    cases += [(text.any_of(address, keys), _role(*rest)) for keys, *rest in rules]
-    cases += _subjects(address)
-    cases.append((text.any_of(address, last_keys), _role(*last)))
-    cases.append((F.contains(email, F.lit("@")), _role("District Employee", "General Staff", words.OTHER)))
-    return text.first_hit(cases, _role("Staff", "General Staff", words.OTHER))
+    shown, low, place = x["title"], x["low"], x["place"]
+    by_name = [(F.rlike(x["name"], F.lit(rf"(?:,\s*|\s){key}\b")), _role(role, "Health Services", words.HEALTH)) for key, role in words.NURSES]
+    by_title = F.coalesce(first_rule(low, _title_rules()), _role(shown, "General Staff", words.OTHER))
+    fallback = F.when(F.contains(x["email"], F.lit("@")), _role("District Employee", "General Staff", words.OTHER)).otherwise(_role("Staff", "General Staff", words.OTHER))
+    professions = F.contains(place, F.lit("health")) & F.contains(place, F.lit("profession"))
+    cases = [*by_name, (~low.isin(*words.NO_TITLE), by_title), (professions, _role("Health Professions Staff", "Health Services", words.HEALTH))]
+    return text.first_hit(cases, F.coalesce(first_rule(x["address"], _address_rules()), fallback))
 
 
 def is_district_scope(district: Column, school: Column) -> Column:
