@@ -13,7 +13,8 @@ importance 1 with all that is in them. If a page has text in an `article` or `ma
 outside is not part of it.
 
 Only (host, path, feature) counts are merged, with map-side aggregation, so a large host is no
-task's burden; pages meet the paths to remove by a join on the host.
+task's burden; pages meet the paths to remove by a join on the host, where they stay while those
+paths are few.
 
 Input cases. html null or empty: no text. A null or odd url: the host ''. One page of a host, or
 few: the declared nodes alone are removed. Broken markup: end tags without a start are passed over,
@@ -35,6 +36,8 @@ from pyspark.sql import functions as F
 from dirlens.llm import tables
 
 LEAST_PAGES, LEAST_IMPORTANCE, GAMMA = 8, 0.2, 0.9
+#: Paths to remove, of 8 bytes each and their hosts, up to which they are broadcast; more are joined.
+BROADCAST_PATHS = 50_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -236,7 +239,10 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text, the main text, of every row of pages (page_id, url, html)."""
-    low = style_tree(pages).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).groupBy("host").agg(F.collect_set("path").alias("low"))
+    removed = tables.cut(style_tree(pages).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("host", "path"))
+    low = removed.groupBy("host").agg(F.collect_set("path").alias("low"))
+    if removed.count() <= BROADCAST_PATHS:
+        low = F.broadcast(low)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
