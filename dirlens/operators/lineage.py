@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df as a table in the shared checkpoint folder and read it from there.
+
+    A written table is worked out once, where checkpoint() runs its last stage a second time to write
+    it; and it is read by columns, with sizes that the next joins can be planned by.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
