@@ -153,8 +153,9 @@ def _keys(tau: int, min_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             body, offsets = text.buffers(batch.column(0))
             for lo, hi in text.slices(offsets):
                 lines = Lines(body, offsets, lo, hi, min_bytes)
-                for _, key, which in _postings(lines, tau):
-                    yield pa.RecordBatch.from_arrays([pa.array(text.signed(key)), pa.array(text.signed(lines.hash[which]))], names=["key", "line"])
+                made = [(key, which) for _, key, which in _postings(lines, tau)]
+                keys, which = (np.concatenate(x) for x in zip(*made, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(text.signed(keys)), pa.array(text.signed(lines.hash[which]))], names=["key", "line"])
 
     return post
 
@@ -242,7 +243,7 @@ def line_classes(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, mi
     degree = links.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").agg(F.count("*").alias("n_links"))
     named = label.withColumnRenamed("id", "line").join(degree, "line")
     found = docs.mapInArrow(_occurrences(min_bytes), "doc_id long, line_no int, n_lines int, line long")
-    lines = found.join(named, "line", "left").select("doc_id", "line_no", "n_lines", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    lines = tables.cut(found.join(named, "line", "left").select("doc_id", "line_no", "n_lines", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     places = lines.groupBy("class", "n_lines", "line_no").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"))
     classes = places.groupBy("class").agg(F.count("*").alias("n_places"), F.sum("n").alias("n"), F.min(F.struct(F.col("d").isNull().alias("unnamed"), "d", "line_no")).alias("first"))
     out = lines.join(classes.where("n > 1"), "class", "left")
