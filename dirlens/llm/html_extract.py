@@ -6,6 +6,9 @@ entropy of its sequences of children, and a content importance, one less the mea
 pages over which its texts are spread as an entropy; both are to the base of the node's pages, and
 a node's importance blends its presentation with the content of its branch. Branches of low
 importance are removed from each page. A node on fewer than `LEAST_PAGES` pages is left alone.
+Pages of a host with the same undeclared blocks count once, so copies of a page are no evidence. A
+branch that holds all undeclared text of a page is not removed from it, and no removal leaves a page
+without text that it had.
 
 Two kinds of node need no statistics: those that their tag, role or class names declare to be menu,
 footer, notice, advert, form and the like have importance 0, and `article` and `main` have
@@ -16,8 +19,8 @@ Only (host, path, feature) counts are merged, with map-side aggregation, so a la
 task's burden; pages meet the paths to remove by a join on the host, where they stay while those
 paths are few.
 
-Input cases. html null or empty: no text. A null or odd url: the host ''. One page of a host, or
-few: the declared nodes alone are removed. Broken markup: end tags without a start are passed over,
+Input cases. html null or empty: no text. A null or odd url: the host is '', whose pages need have
+nothing in common and are in no style tree. One page of a host, or few: the declared nodes alone are removed. Broken markup: end tags without a start are passed over,
 open elements end with the page. Repeated rows give repeated rows. Other columns are ignored,
 whatever their names.
 """
@@ -185,30 +188,28 @@ class Page:
     def text(self, low: frozenset[int] = frozenset()) -> str:
         good = [b for b in self.blocks if not b[3]]
         inside = [b[0] for b in good if b[2]]
-        return " ".join(inside or [b[0] for b in good if not low.intersection(b[1])])
+        if good and not inside:
+            low -= frozenset.intersection(*(frozenset(b[1]) for b in good))
+        return " ".join(inside or [b[0] for b in good if not low.intersection(b[1])] or [b[0] for b in good])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, html) to (host, path, kind, feature, ancestors): kind 0 a text of the node, 1 its children; each once a page."""
+    """(host, html) to (host, page, nodes): the hash of a page's undeclared blocks, and of each of their nodes
+    path, kind, feature and ancestors: kind 0 a text of the node, 1 its children; each once a page."""
+    node = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("ancestors", pa.list_(pa.int64()))])
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            rows: dict[str, list] = {"host": [], "path": [], "kind": [], "feature": [], "ancestors": []}
-            for host, source in zip(batch.column(0).slice(at, 256).to_pylist(), batch.column(1).slice(at, 256).to_pylist(), strict=True):
+            numbers, nodes = [], []
+            for source in batch.column(1).slice(at, 256).to_pylist():
                 page = Page(source or "")
-                seen = {(paths[-1], 0, feature(text)): paths[1:] for text, paths, _, _ in page.blocks}
-                above = {p: paths[1 : i + 1] for _, paths, _, _ in page.blocks for i, p in enumerate(paths) if i}
+                good = [(text, paths) for text, paths, _, declared in page.blocks if not declared]
+                seen = {(paths[-1], 0, feature(text)): paths[1:] for text, paths in good}
+                above = {p: paths[1 : i + 1] for _, paths in good for i, p in enumerate(paths) if i}
                 for p, ancestors in above.items():
                     seen[p, 1, feature(" ".join(page.children.get(p, [])))] = ancestors
-                for (p, kind, f), ancestors in seen.items():
-                    rows["host"].append(host)
-                    rows["path"].append(p)
-                    rows["kind"].append(kind)
-                    rows["feature"].append(f)
-                    rows["ancestors"].append(list(ancestors))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["host"], pa.string()), pa.array(rows["path"], pa.int64()), pa.array(rows["kind"], pa.int32()), pa.array(rows["feature"], pa.int64()), pa.array(rows["ancestors"], pa.list_(pa.int64()))],
-                names=list(rows),
-            )
+                numbers.append(feature("\0".join(f"{paths[-1]} {text}" for text, paths in good)))
+                nodes.append([{"path": p, "kind": kind, "feature": f, "ancestors": list(ancestors)} for (p, kind, f), ancestors in seen.items()])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(numbers, pa.int64()), pa.array(nodes, pa.list_(node))], names=["host", "page", "nodes"])
 
 
 def host_of(url: str = "url") -> Column:
@@ -216,9 +217,10 @@ def host_of(url: str = "url") -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, pages, presentation, content and importance of every node of pages (url, html)."""
-    rows = pages.select(host_of().alias("host"), "html").mapInArrow(_features, "host string, path long, kind int, feature long, ancestors array<long>")
-    counts = rows.groupBy("host", "path", "kind", "feature", "ancestors").agg(F.count("*").alias("n"))
+    """host, path, distinct pages, presentation, content and importance of every node of pages (url, html)."""
+    found = pages.select(host_of().alias("host"), "html").where("host <> ''").mapInArrow(_features, "host string, page long, nodes array<struct<path:long,kind:int,feature:long,ancestors:array<long>>>")
+    rows = found.dropDuplicates(["host", "page"]).select("host", F.inline("nodes"))
+    counts = tables.cut(rows.groupBy("host", "path", "kind", "feature", "ancestors").agg(F.count("*").alias("n")))
     shape, n = F.col("kind") == 1, F.col("n")
     nodes = counts.groupBy("host", "path", "ancestors").agg(
         F.sum(F.when(shape, n)).alias("pages"),

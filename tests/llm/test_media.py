@@ -119,6 +119,22 @@ def test_style_tree_removes_repeated_branches(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("copies", [7, 8, 1000])
+def test_copies_of_a_page_keep_its_text(spark, copies):
+    """Equal pages are one page; so are those that differ in declared nodes. Pages without a host aren't judged together."""
+    page = "<body><nav>{0}</nav><div class=k><p>One text</p><p>and more</p></div></body>"
+    rows = [(i, "http://a.example.org/", page.format(i % 20)) for i in range(copies)] + [(-1 - i, None, f"<body><p>shared words</p><b class=k>own {i}</b></body>") for i in range(12)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: "One text and more" for i in range(copies)} | {-1 - i: f"shared words own {i}" for i in range(12)}
+
+
+def test_a_page_of_repeated_text_alone_keeps_it(spark):
+    rows = [(i, "http://a.example.org/", f"<body><div class=k><p>One text</p></div><div class=date>day {i}</div></body>") for i in range(12)]
+    rows += [(12, "http://a.example.org/", "<body><div class=k><p>One text</p></div></body>")]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"day {i}" for i in range(12)} | {12: "One text"}
+
+
 SCHEMAS = {"add": {"type": "object", "properties": {"a": {"type": "number"}, "b": {"type": "integer"}, "k": {"enum": ["x"]}, "l": {"type": "array", "items": {"type": "string"}}}, "required": ["a"], "additionalProperties": False}}
 
 
