@@ -10,17 +10,20 @@ Pages of a host with the same undeclared blocks count once, so copies of a page
 branch that holds all undeclared text of a page is not removed from it, and no removal leaves a page
 without text that it had.
 
-Two kinds of node need no statistics: those that their tag, role or class names declare to be menu,
-footer, notice, advert, form and the like have importance 0, and `article` and `main` have
-importance 1 with all that is in them. If a page has text in an `article` or `main`, the text
-outside is not part of it.
+Elements that their tag, role or hidden attribute declare to be menu, footer, form and the like are
+never text. Class and id names of notices, adverts, comments and the like are a prior of 0, blended by
+half with the node's content times the share of the pages' text in its branch: a branch that is
+nearly all of a host's text is kept in spite of its names. Without statistics the prior decides,
+unless it would take all text of a page. `article` and `main` are kept and branches below them are
+judged like any other. Text outside is not part of a page that has text inside them, unless what is
+inside is a teaser: less than `TEASER` of the text outside, and that `LEAST_OUTSIDE` characters at least.
 
 Only (host, path, feature) counts are merged, with map-side aggregation, so a large host is no
 task's burden; pages meet the paths to remove by a join on the host, where they stay while those
 paths are few.
 
 Input cases. html null or empty: no text. A null or odd url: the host is '', whose pages need have
-nothing in common and are in no style tree. One page of a host, or few: the declared nodes alone are removed. Broken markup: end tags without a start are passed over,
+nothing in common and are in no style tree. One page of a host, or few: declared and named nodes alone are removed. Broken markup: end tags without a start are passed over,
 open elements end with the page. Repeated rows give repeated rows. Other columns are ignored,
 whatever their names.
 """
@@ -39,7 +42,8 @@ from pyspark.sql import functions as F
 from dirlens.llm import tables
 
 LEAST_PAGES, LEAST_IMPORTANCE, GAMMA = 8, 0.2, 0.9
-#: Paths to remove, of 8 bytes each and their hosts, up to which they are broadcast; more are joined.
+NAME_WEIGHT, TEASER, LEAST_OUTSIDE = 0.5, 0.5, 200
+#: Paths to turn, of 8 bytes each and their hosts, up to which they are broadcast; more are joined.
 BROADCAST_PATHS = 50_000
 
 TOKEN = re.compile(
@@ -87,13 +91,14 @@ def feature(x: str) -> int:
 
 
 class Page:
-    """Blocks of a page in order: (text, path of the element it stands in, all paths to it, in main?, declared?)."""
+    """Blocks of a page in order: (text, all paths to it, in main?, declared?, paths down to its main); the paths of noise names."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []
+        self.blocks: list[tuple[str, tuple[int, ...], bool, bool, int]] = []
+        self.named: set[int] = set()
         self.children: dict[int, list[str]] = {}
-        # tag, paths from the root, in main?, declared?
-        self.stack: list[tuple[str, tuple[int, ...], bool, bool]] = [("", (0,), False, False)]
+        # tag, paths from the root, in main?, declared?, paths down to the main that is not judged
+        self.stack: list[tuple[str, tuple[int, ...], bool, bool, int]] = [("", (0,), False, False, 1)]
         self.pieces: list[str] = []
         self.main_seen = False
         at, raw = 0, ""
@@ -128,8 +133,7 @@ class Page:
             text = " ".join(html.unescape("".join(self.pieces)).split())
             self.pieces = []
             if text:
-                _, paths, main, declared = self.stack[-1]
-                self.blocks.append((text, paths, main, declared))
+                self.blocks.append((text, *self.stack[-1][1:]))
 
     def pop(self, tags: tuple[str, ...]) -> None:
         """Close the innermost open element of these tags, if no other scope lies between."""
@@ -156,25 +160,26 @@ class Page:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
         names = f"{found.get('class', '')} {found.get('id', '')}".lower()
         role = found.get("role", "").lower()
-        _, paths, main, declared = self.stack[-1]
+        _, paths, main, declared, base = self.stack[-1]
         words = frozenset(WORD.findall(names))
+        hidden = "hidden" in found
+        named = bool(words & COMMENTS)
         if tag in INLINE:
-            noise = bool(words & COMMENTS) or "hidden" in found
-            if not noise:
+            if not named and not hidden:
                 return
             self.close_block()
         is_main = tag in ("article", "main") or role == "main"
-        noise = (
-            tag in DECLARED or role in ROLES or "hidden" in found or "display:none" in found.get("style", "").replace(" ", "").lower()
-            or tag not in ("html", "body") and (bool(words & COMMENTS) or not is_main and bool(words & NAMES))
-            or not main and (tag == "header" or tag not in ("html", "body") and not is_main and "header" in words)
-        )
-        if is_main and not noise and declared and not self.main_seen:
-            declared = False
-        if is_main and not noise and not declared:
-            self.main_seen = True
+        noise = tag in DECLARED or role in ROLES or hidden or "display:none" in found.get("style", "").replace(" ", "").lower() or not main and tag == "header"
+        named = tag not in ("html", "body") and (named or not is_main and (bool(words & NAMES) or not main and "header" in words))
+        here = (*paths, path(paths[-1], tag, f"{names.strip()} {role}"))
+        if named:
+            self.named.add(here[-1])
+        if is_main and not noise and not named:
+            below = declared or not self.named.isdisjoint(paths[base:])
+            if not below or not self.main_seen:
+                declared, base, self.main_seen = False, len(here), True
         self.children.setdefault(paths[-1], []).append(tag)
-        self.stack.append((tag, (*paths, path(paths[-1], tag, f"{names.strip()} {role}")), main or is_main, declared or noise))
+        self.stack.append((tag, here, main or is_main, declared or noise, base))
 
     def end(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
@@ -185,30 +190,46 @@ class Page:
             if self.stack[i][0] in ("table", "td", "th") and tag not in SCOPE:
                 return
 
-    def text(self, low: frozenset[int] = frozenset()) -> str:
+    def text(self, turned: frozenset[int] = frozenset()) -> str:
+        """The main text. turned: paths to remove, and of those with noise names the ones to keep."""
         good = [b for b in self.blocks if not b[3]]
-        inside = [b[0] for b in good if b[2]]
-        if good and not inside:
-            low -= frozenset.intersection(*(frozenset(b[1]) for b in good))
-        return " ".join(inside or [b[0] for b in good if not low.intersection(b[1])] or [b[0] for b in good])
+        if not good:
+            return ""
+        low = self.named ^ turned
+        low -= frozenset.intersection(*(frozenset(b[1]) for b in good)) - self.named
+        kept = [b for b in good if low.isdisjoint(b[1][b[4] :])]
+        if not kept:
+            low = self.named - turned
+            kept = [b for b in good if low.isdisjoint(b[1][b[4] :])] or good
+        inside = [b[0] for b in kept if b[2]]
+        outside = sum(len(b[0]) for b in kept if not b[2])
+        if not inside or outside >= LEAST_OUTSIDE and sum(map(len, inside)) < TEASER * outside:
+            return " ".join(b[0] for b in kept)
+        return " ".join(inside)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, html) to (host, page, nodes): the hash of a page's undeclared blocks, and of each of their nodes
-    path, kind, feature and ancestors: kind 0 a text of the node, 1 its children; each once a page."""
-    node = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("ancestors", pa.list_(pa.int64()))])
+    path, kind, feature, ancestors and share: kind 0 a text of the node, 1 its children, 2 those of a node with
+    a noise name; each once a page. share: thousandths of the page's text in a named node's branch, else 0."""
+    node = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("ancestors", pa.list_(pa.int64())), ("share", pa.int64())])
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             numbers, nodes = [], []
             for source in batch.column(1).slice(at, 256).to_pylist():
                 page = Page(source or "")
-                good = [(text, paths) for text, paths, _, declared in page.blocks if not declared]
+                good = [(text, paths) for text, paths, _, declared, _ in page.blocks if not declared]
+                chars: dict[int, int] = {}
+                for text, paths in good:
+                    for p in page.named.intersection(paths):
+                        chars[p] = chars.get(p, 0) + len(text)
+                whole = sum(len(text) for text, _ in good)
                 seen = {(paths[-1], 0, feature(text)): paths[1:] for text, paths in good}
                 above = {p: paths[1 : i + 1] for _, paths in good for i, p in enumerate(paths) if i}
                 for p, ancestors in above.items():
-                    seen[p, 1, feature(" ".join(page.children.get(p, [])))] = ancestors
+                    seen[p, 2 if p in page.named else 1, feature(" ".join(page.children.get(p, [])))] = ancestors
                 numbers.append(feature("\0".join(f"{paths[-1]} {text}" for text, paths in good)))
-                nodes.append([{"path": p, "kind": kind, "feature": f, "ancestors": list(ancestors)} for (p, kind, f), ancestors in seen.items()])
+                nodes.append([{"path": p, "kind": kind, "feature": f, "ancestors": list(ancestors), "share": 1000 * chars.get(p, 0) // whole if kind else 0} for (p, kind, f), ancestors in seen.items()])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(numbers, pa.int64()), pa.array(nodes, pa.list_(node))], names=["host", "page", "nodes"])
 
 
@@ -217,12 +238,14 @@ def host_of(url: str = "url") -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """host, path, distinct pages, presentation, content and importance of every node of pages (url, html)."""
-    found = pages.select(host_of().alias("host"), "html").where("host <> ''").mapInArrow(_features, "host string, page long, nodes array<struct<path:long,kind:int,feature:long,ancestors:array<long>>>")
+    """host, path, named (a noise name?), distinct pages, presentation, content and importance of every node of pages (url, html)."""
+    found = pages.select(host_of().alias("host"), "html").where("host <> ''").mapInArrow(_features, "host string, page long, nodes array<struct<path:long,kind:int,feature:long,ancestors:array<long>,share:long>>")
     rows = found.dropDuplicates(["host", "page"]).select("host", F.inline("nodes"))
-    counts = tables.cut(rows.groupBy("host", "path", "kind", "feature", "ancestors").agg(F.count("*").alias("n")))
-    shape, n = F.col("kind") == 1, F.col("n")
+    counts = tables.cut(rows.groupBy("host", "path", "kind", "feature", "ancestors").agg(F.count("*").alias("n"), F.sum("share").alias("share")))
+    shape, n = F.col("kind") > 0, F.col("n")
     nodes = counts.groupBy("host", "path", "ancestors").agg(
+        (F.max("kind") == 2).alias("named"),
+        (F.sum("share") / 1000 / F.sum(F.when(shape, n))).alias("share"),
         F.sum(F.when(shape, n)).alias("pages"),
         F.count(F.when(shape, n)).alias("styles"),
         F.sum(F.when(shape, n * F.log(n))).alias("shape_log"),
@@ -234,17 +257,19 @@ def style_tree(pages: DataFrame) -> DataFrame:
     nodes = nodes.withColumn("own", F.when(F.col("pages") > 1, F.col("texts") - F.col("text_log") / base).otherwise(F.col("texts")))
     branch = nodes.select("host", F.explode("ancestors").alias("path"), "own", "texts").groupBy("host", "path").agg(F.sum("own").alias("own"), F.sum("texts").alias("texts"))
     content = F.when(F.col("branch.texts") > 0, F.greatest(F.lit(0.0), F.col("branch.own") / F.col("branch.texts"))).otherwise(0.0)
-    share = F.pow(F.lit(GAMMA), F.col("styles"))
+    even = F.pow(F.lit(GAMMA), F.col("styles"))
+    blend = F.when(F.col("named"), (1 - NAME_WEIGHT) * content * F.col("share")).otherwise((1 - even) * F.col("presentation") + even * content)
     joined = nodes.alias("node").join(branch.alias("branch"), ["host", "path"])
-    return joined.select("host", "path", "pages", "presentation", content.alias("content"), ((1 - share) * F.col("presentation") + share * content).alias("importance"))
+    return joined.select("host", "path", "named", "pages", "presentation", content.alias("content"), blend.alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text, the main text, of every row of pages (page_id, url, html)."""
-    removed = tables.cut(style_tree(pages).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("host", "path"))
-    low = removed.groupBy("host").agg(F.collect_set("path").alias("low"))
-    if removed.count() <= BROADCAST_PATHS:
-        low = F.broadcast(low)
+    low = F.col("importance") < LEAST_IMPORTANCE
+    paths = tables.cut(style_tree(pages).where((F.col("pages") >= LEAST_PAGES) & (low != F.col("named"))).select("host", "path"))
+    turned = paths.groupBy("host").agg(F.collect_set("path").alias("turned"))
+    if paths.count() <= BROADCAST_PATHS:
+        turned = F.broadcast(turned)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,8 +278,8 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = [Page(x or "").text(frozenset(y or ())) for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of().alias("host")).join(low, "host", "left")
-    return rows.select("page_id", "url", "html", "low").mapInArrow(work, "page_id long, url string, text string")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of().alias("host")).join(turned, "host", "left")
+    return rows.select("page_id", "url", "html", "turned").mapInArrow(work, "page_id long, url string, text string")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

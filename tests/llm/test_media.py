@@ -135,6 +135,21 @@ def test_a_page_of_repeated_text_alone_keeps_it(spark):
     assert found == {i: f"day {i}" for i in range(12)} | {12: "One text"}
 
 
+def test_names_and_main_are_weighed(spark):
+    """Repeated blocks go from articles too, teasers are no main text, a named wrapper of all text is kept, named parts go."""
+    long = "these are the words of page {0} and some more of them " * 8
+    hosts = {
+        "a": ("<article><p>Own {0} text</p><div class=k9>Read our magazine</div></article>", "Own {0} text"),
+        "b": (f"<div class=k>{long}</div><div class=l><article>teaser {{0}}</article><article>other {{0}}</article></div>", f"{long.strip()} teaser {{0}} other {{0}}"),
+        "c": (f"<div class='has-sidebar'><p>{long}</p><div class=ad>buy {{0}}</div></div>", long.strip()),
+        "d": (f"<div class=k>{long}</div><div class=comments>reader {{0}} says</div>", long.strip()),
+    }
+    rows = [(100 * k + i, f"http://{h}.example.org/{i}", f"<body>{body.format(i)}</body>") for k, (h, (body, _)) in enumerate(hosts.items()) for i in range(10)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {100 * k + i: text.format(i) for k, (_, text) in enumerate(hosts.values()) for i in range(10)}
+    assert html_extract.Page("<div class=has-sidebar>all the text</div>").text() == "all the text"
+
+
 SCHEMAS = {"add": {"type": "object", "properties": {"a": {"type": "number"}, "b": {"type": "integer"}, "k": {"enum": ["x"]}, "l": {"type": "array", "items": {"type": "string"}}}, "required": ["a"], "additionalProperties": False}}
 
 
