@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go, but for their first; n_chars is that of the new text."""
-    return line_dedup.drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Lines repeated in many distinct texts go, but for their first; n_chars is that of the new text."""
+    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

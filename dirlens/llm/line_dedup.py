@@ -12,8 +12,12 @@ Linked and equal lines form classes. A class that stands at `min_places` or more
 Copies of a document, however many, stand at the same places, so they stay whole for the
 document-level step that follows.
 
-Input cases. Text null or empty: no lines. Lines shorter than `min_bytes` are left alone and are in
-no class. Equal lines, ties: the first is the least (doc_id, number). Repeated rows: each is
+The pipeline takes `drop_repeated_lines` instead: a class is repeated if
+it stands in `MIN_DOCS` or more distinct texts, wherever it stands there, and all its lines but the first
+go. Equal texts count once, and copies of the text with the first line keep theirs too.
+
+Input cases. Text null or empty: no lines. In the query, lines shorter than `min_bytes` are left alone
+and are in no class. Equal lines, ties: the first is the least (doc_id, number). Repeated rows: each is
 treated alike. A null doc_id sorts last. Other columns are ignored, whatever their names.
 """
 
@@ -30,6 +34,8 @@ from dirlens.llm import tables, text
 from dirlens.llm.groups import whole_groups
 
 TAU, MIN_BYTES, MIN_PLACES = 2, 20, 12
+#: Of the pipeline's rule: distinct texts from which a line is repeated.
+MIN_DOCS = 8
 #: Lines of one list compared pair by pair in one block.
 BLOCK = 256
 #: Bits of the filter over repeated lists; it is broadcast, so its size is fixed (4 MB). Where it
@@ -97,9 +103,9 @@ def segments(length: np.ndarray, tau: int, i: int) -> tuple[np.ndarray, np.ndarr
 
 
 class Lines:
-    """Trimmed lines of at least min_bytes of texts lo..hi: start, end, text, number, hash."""
+    """Trimmed lines of min_bytes to max_bytes of texts lo..hi: start, end, text, number, hash."""
 
-    def __init__(self, body: np.ndarray, offsets: np.ndarray, lo: int, hi: int, min_bytes: int):
+    def __init__(self, body: np.ndarray, offsets: np.ndarray, lo: int, hi: int, min_bytes: int, max_bytes: int | None = None):
         words = text.Words(body, offsets, lo, hi)
         self.data = words.data
         breaks = np.flatnonzero(words.data == 10) + 1
@@ -113,20 +119,26 @@ class Lines:
         some = np.flatnonzero(last > first)
         begin, end = words.starts[first[some]], words.ends[last[some] - 1]
         keep = end - begin >= min_bytes
+        if max_bytes is not None:
+            keep &= end - begin <= max_bytes
         self.start, self.end, self.doc, self.number = begin[keep], end[keep], doc[some][keep], number[some][keep]
         self.sums = text.prefix(text.BYTE_VALUE[self.data])
         self.hash = text.span_hash(self.sums, self.start, self.end)
 
 
 def _occurrences(min_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(doc_id, text, ...) to a row for each line; further columns go along."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = text.buffers(batch.column(1))
             for lo, hi in text.slices(offsets):
                 x = Lines(body, offsets, lo, hi, min_bytes)
+                doc = pa.array(x.doc + lo)
+                more = batch.schema.names[2:]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(x.doc + lo)), pa.array(x.number.astype(np.int32)), pa.array(x.lines[x.doc].astype(np.int32)), pa.array(text.signed(x.hash))],
-                    names=["doc_id", "line_no", "n_lines", "line"],
+                    [batch.column(0).take(doc), pa.array(x.number.astype(np.int32)), pa.array(x.lines[x.doc].astype(np.int32)), pa.array(text.signed(x.hash)), *(batch.column(c).take(doc) for c in more)],
+                    names=["doc_id", "line_no", "n_lines", "line", *more],
                 )
 
     return find
@@ -147,12 +159,12 @@ def _postings(lines: Lines, tau: int) -> Iterator[tuple[bool, np.ndarray, np.nda
                 yield shorter == 0 and shift == 0, key, one[fits]
 
 
-def _keys(tau: int, min_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _keys(tau: int, min_bytes: int, max_bytes: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = text.buffers(batch.column(0))
             for lo, hi in text.slices(offsets):
-                lines = Lines(body, offsets, lo, hi, min_bytes)
+                lines = Lines(body, offsets, lo, hi, min_bytes, max_bytes)
                 made = [(key, which) for _, key, which in _postings(lines, tau)]
                 keys, which = (np.concatenate(x) for x in zip(*made, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(text.signed(keys)), pa.array(text.signed(lines.hash[which]))], names=["key", "line"])
@@ -160,7 +172,7 @@ def _keys(tau: int, min_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return post
 
 
-def _filtered(tau: int, min_bytes: int, passing) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _filtered(tau: int, min_bytes: int, max_bytes: int | None, passing) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Postings in lists that the filter passes, with the lines' own texts."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +181,7 @@ def _filtered(tau: int, min_bytes: int, passing) -> Callable[[Iterator[pa.Record
         for batch in batches:
             body, offsets = text.buffers(batch.column(0))
             for lo, hi in text.slices(offsets):
-                lines = Lines(body, offsets, lo, hi, min_bytes)
+                lines = Lines(body, offsets, lo, hi, min_bytes, max_bytes)
                 for own, key, which in _postings(lines, tau):
                     place = (key & low).astype(np.int64)
                     hit = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
@@ -221,12 +233,12 @@ def _filter(lists: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def edit_links(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """(a, b), a < b: hashes of distinct lines of docs (text) within tau edits of each other."""
-    posted = docs.select("text").mapInArrow(_keys(tau, min_bytes), "key long, line long")
+def edit_links(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, max_bytes: int | None = None) -> DataFrame:
+    """(a, b), a < b: hashes of distinct lines of docs (text), of min_bytes to max_bytes, within tau edits of each other."""
+    posted = docs.select("text").mapInArrow(_keys(tau, min_bytes, max_bytes), "key long, line long")
     lists = posted.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key")
     passing = docs.sparkSession.sparkContext.broadcast(_filter(lists))
-    rows = docs.select("text").mapInArrow(_filtered(tau, min_bytes, passing), "key long, line long, own boolean, body binary")
+    rows = docs.select("text").mapInArrow(_filtered(tau, min_bytes, max_bytes, passing), "key long, line long, own boolean, body binary")
     # a line's own posting probes too, so it stands for both
     members = tables.cut(rows.groupBy("key", "line").agg(F.max("own").alias("own"), F.min("body").alias("body")))
     size = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
@@ -259,7 +271,29 @@ def drop_boilerplate(docs: DataFrame, **settings: int) -> DataFrame:
 
     A document left without a word goes; one that had none before stays.
     """
-    gone = line_classes(docs, **settings).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    return _without(docs, line_classes(docs, **settings).where("removed"))
+
+
+def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """doc_id and line_no of the lines of docs (doc_id, text) to remove as repeated in min_docs distinct texts or more."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    links = edit_links(docs)
+    label = tables.components(tables.cut(links.distinct()))
+    found = docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_occurrences(MIN_BYTES), "doc_id long, line_no int, n_lines int, line long, copy long")
+    lines = tables.cut(found.join(label.withColumnRenamed("id", "line"), "line", "left").select("doc_id", "line_no", "copy", F.coalesce("component", "line").alias("class")))
+    texts = lines.groupBy("class", "copy").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first"))
+    classes = texts.groupBy("class").agg(F.count("*").alias("n"), F.min(F.struct("first", "copy")).alias("least")).where(F.col("n") >= min_docs)
+    own = (F.col("copy") == F.col("least.copy")) & (F.col("line_no") == F.col("least.first.line_no"))
+    return lines.join(classes, "class").where(~own).select("doc_id", "line_no")
+
+
+def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """docs (doc_id, text, ...) without repeated lines, as drop_boilerplate."""
+    return _without(docs, repeated_lines(docs, min_docs))
+
+
+def _without(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    gone = removed.groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
     # the row goes along as one column, so that its names don't meet ours
     joined = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id")).join(gone, F.col("id").eqNullSafe(gone["doc_id"]), "left")
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains("gone", i)), "\n")
