@@ -12,9 +12,10 @@ Linked and equal lines form classes. A class that stands at `min_places` or more
 Copies of a document, however many, stand at the same places, so they stay whole for the
 document-level step that follows.
 
-The pipeline takes `drop_repeated_lines` instead: a class is repeated if
+The pipeline takes `drop_repeated_lines` instead: every line with a word counts, a class is repeated if
 it stands in `MIN_DOCS` or more distinct texts, wherever it stands there, and all its lines but the first
-go. Equal texts count once, and copies of the text with the first line keep theirs too.
+go. Equal texts count once, and copies of the text with the first line keep theirs too. Lines of
+`SHORT_BYTES` or fewer are equal or apart; those below `MIN_BYTES` may be one edit apart.
 
 Input cases. Text null or empty: no lines. In the query, lines shorter than `min_bytes` are left alone
 and are in no class. Equal lines, ties: the first is the least (doc_id, number). Repeated rows: each is
@@ -34,8 +35,8 @@ from dirlens.llm import tables, text
 from dirlens.llm.groups import whole_groups
 
 TAU, MIN_BYTES, MIN_PLACES = 2, 20, 12
-#: Of the pipeline's rule: distinct texts from which a line is repeated.
-MIN_DOCS = 8
+#: Of the pipeline's rule: distinct texts from which a line is repeated; the bytes up to which only equal lines are.
+MIN_DOCS, SHORT_BYTES = 8, 9
 #: Lines of one list compared pair by pair in one block.
 BLOCK = 256
 #: Bits of the filter over repeated lists; it is broadcast, so its size is fixed (4 MB). Where it
@@ -277,9 +278,9 @@ def drop_boilerplate(docs: DataFrame, **settings: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id and line_no of the lines of docs (doc_id, text) to remove as repeated in min_docs distinct texts or more."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    links = edit_links(docs)
+    links = edit_links(docs).unionAll(edit_links(docs, 1, SHORT_BYTES + 1, MIN_BYTES))
     label = tables.components(tables.cut(links.distinct()))
-    found = docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_occurrences(MIN_BYTES), "doc_id long, line_no int, n_lines int, line long, copy long")
+    found = docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_occurrences(1), "doc_id long, line_no int, n_lines int, line long, copy long")
     lines = tables.cut(found.join(label.withColumnRenamed("id", "line"), "line", "left").select("doc_id", "line_no", "copy", F.coalesce("component", "line").alias("class")))
     texts = lines.groupBy("class", "copy").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first"))
     classes = texts.groupBy("class").agg(F.count("*").alias("n"), F.min(F.struct("first", "copy")).alias("least")).where(F.col("n") >= min_docs)

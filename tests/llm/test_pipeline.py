@@ -70,9 +70,9 @@ def test_stages_of_odd_rows(spark, docs, no_docs):
 
 
 def test_repeated_lines_go_wherever_they_stand(spark):
-    """A footer at one place and an edited one; copies of a text count once and copies of the first keep theirs."""
+    """A footer at one place, a short line and an edited one; copies of a text count once and copies of the first keep theirs."""
     own = lambda i: f"{'abcdefghij'[i % 10] * 12} {i} {'klmnopqrst'[i * 7 % 10] * 12}"
-    rows = [(i, f"{own(i)}\n{own(100 + i)}\nReleased under the MIT license{'.' * (i % 2)}") for i in range(20)]
+    rows = [(i, f"{own(i)}\nLes.\n{own(100 + i)}\nReleased under the MIT license{'.' * (i % 2)}") for i in range(20)]
     rows += [(50 + i, rows[0][1]) for i in range(3)] + [(80 + i, "a line of many copies of one text\nab") for i in range(30)]
     docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     found = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF).collect()}
