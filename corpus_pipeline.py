@@ -16,7 +16,7 @@ from dirlens.llm import decontaminate, language_id, line_dedup, mixing, near_ded
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose language is not clear, go."""
+    """Documents without a letter, whose language is not clear or is none of the learned ones, go."""
     return language_id.keep_identified(docs)
 
 

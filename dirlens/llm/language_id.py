@@ -6,6 +6,12 @@ each task adds up its own, Spark sums them by (language, bucket). The log-probab
 languages x BUCKETS 32-bit numbers, is broadcast and a batch is scored by gathering its n-grams'
 rows and adding them up by text. The score is the posterior probability of the predicted language.
 
+The posterior says which language is the likeliest, not whether a text is in any. `keep_identified`
+therefore also looks at the surprise: by how much a text's mean log-probability per n-gram is below
+what its predicted language gives itself on average. `MOST_SURPRISE` (nats) was set from the given
+tables, whose clean texts stay below 2 and random letters and other scripts above 4; a text of few
+n-grams has `DEVIATIONS` standard errors more.
+
 Input cases. Text null, empty or without a letter: `und` with score 0. No labelled row: all `und`.
 Rows with a null language are not learned from; rows with a null id are not learned from and are
 not held out. Ties go to the language first in order. Whole texts are used, however long. Other
@@ -28,6 +34,7 @@ BITS = 15
 BUCKETS = 1 << BITS
 SMOOTHING = 0.1
 UNDETERMINED = "und"
+MOST_SURPRISE, DEVIATIONS = 3.0, 4.0
 
 _letters: list[np.ndarray] = []
 
@@ -92,10 +99,17 @@ class Model:
         smooth = counts + SMOOTHING
         self.weights = np.log(smooth / smooth.sum(axis=0)).astype(np.float32) if languages else np.zeros((BUCKETS, 0), np.float32)
         self.prior = np.log((texts + 1.0) / (texts + 1.0).sum()) if languages else np.zeros(0)
+        logs = self.weights.astype(np.float64)
+        self.mean = (np.exp(logs) * logs).sum(axis=0)
+        self.deviation = np.sqrt(np.maximum(0.0, (np.exp(logs) * logs**2).sum(axis=0) - self.mean**2))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, scores and surprises, the last less what chance allows a text of so few n-grams."""
         if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         grams, some = ngrams(texts)
         total = np.tile(self.prior, (len(texts), 1))
         for bucket, cuts in grams:
@@ -104,7 +118,10 @@ class Model:
                 total[have] += np.add.reduceat(self.weights[bucket], cuts[have], axis=0, dtype=np.float64)
         best = total.argmax(axis=1)
         score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-        return [self.languages[b] if s else UNDETERMINED for b, s in zip(best.tolist(), some.tolist(), strict=True)], np.where(some, score, 0.0)
+        n = np.maximum(1, sum(np.diff(cuts) for _, cuts in grams))
+        surprise = self.mean[best] - (total.max(axis=1) - self.prior[best]) / n - DEVIATIONS * self.deviation[best] / np.sqrt(n)
+        names = [self.languages[b] if s else UNDETERMINED for b, s in zip(best.tolist(), some.tolist(), strict=True)]
+        return names, np.where(some, score, 0.0), np.where(some, surprise, 0.0)
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -121,18 +138,18 @@ def fit(labelled: DataFrame) -> Model:
 
 
 def predicted(spark: SparkSession, model: Model) -> Callable[[Column | str], Column]:
-    """A function of a text column: struct of lang_pred and score."""
+    """A function of a text column: struct of lang_pred, score and surprise."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,surprise:double>")
     def predict(texts: pa.Array) -> pa.Array:
         names: list[str] = []
-        scores: list[np.ndarray] = [np.zeros(0)]
+        scores: list[np.ndarray] = [np.zeros((2, 0))]
         for some in _chunks(texts):
-            a, b = shared.value.predict(some)
+            a, *b = shared.value.judge(some)
             names += a
-            scores.append(b)
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(scores))], names=["lang_pred", "score"])
+            scores.append(np.stack(b))
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), *map(pa.array, np.concatenate(scores, axis=1))], names=["lang_pred", "score", "surprise"])
 
     return predict
 
@@ -142,14 +159,14 @@ def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
 
 
 def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """docs (text, ...) with one more column, `found`, of lang_pred and score."""
+    """docs (text, ...) with one more column, `found`, of lang_pred, score and surprise."""
     return docs.withColumn("found", predicted(docs.sparkSession, fit(labelled))("text"))
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """docs without the rows whose language stays undetermined or scores below min_score."""
+    """docs without the rows whose language stays undetermined, scores below min_score or is none of the learned ones."""
     found = docs.select(F.struct("*").alias("row"), predicted(docs.sparkSession, fit(docs))("text").alias("found"))
-    kept = found.where((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= min_score))
+    kept = found.where((F.col("found.lang_pred") != UNDETERMINED) & (F.col("found.score") >= min_score) & (F.col("found.surprise") <= MOST_SURPRISE))
     return kept.select("row.*")
 
 

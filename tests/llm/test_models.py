@@ -64,6 +64,15 @@ def test_language_id_of_odd_rows(spark, docs, no_docs):
     assert kept.columns == docs.columns and all(any(c.isalpha() for c in r["text"]) for r in kept.collect())
 
 
+def test_texts_in_no_learned_language_go(spark):
+    rng = np.random.default_rng(5)
+    letters = lambda a, n: " ".join("".join(rng.choice(list(a), rng.integers(2, 9))) for _ in range(n))
+    noise = [letters("abcdefghijklmnopqrstuvwxyz", 60), letters("абвгдежзиклмнопрстуфхцчшщыэюя", 60), "привет как дела", "".join(map(chr, rng.integers(0x4E00, 0x9000, 200)))]
+    docs = tables.read(spark, SF, "documents").select("doc_id", "text", "lang")
+    rows = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(noise)], docs.schema)
+    assert {r["doc_id"] for r in language_id.keep_identified(docs.unionAll(rows)).collect()} == {r["doc_id"] for r in docs.collect()}
+
+
 def test_quality_on_held_out_rows(spark):
     found = quality.op8_quality_classifier(spark, "/root/testdata/sf0.1").join(tables.read(spark, "/root/testdata/sf0.1", "labels"), "doc_id").collect()
     held = [r for r in found if r["held_out"]]
