@@ -9,12 +9,14 @@ result. Order is topological: a result follows its call's message, and a message
 a call of its own turn or a later one follows that; what is in order already keeps its turn.
 Messages are serialised with sorted keys, no white space and no escaped letters.
 
-A row is a message, so no conversation is gathered in one place: a conversation is read in order of
+A row is a message, and texts are never gathered by conversation; the dependencies alone (three numbers
+each) of a conversation with one on a later message are ordered in one task, in linear time: a conversation is read in order of
 (order_turn, order_level, order_kind, order_index, turn).
 
 Input cases. Text null: content null. Text that is no such object is plain content. A result
 without a call, or a call without a result, is kept and counted as unlinked. A null conversation or
-turn never links. Messages in a dependency cycle keep their turns. Repeated rows are repeated
+turn never links. Messages in a dependency cycle, or between two, keep their turns; those that
+depend on them follow. Repeated rows are repeated
 messages. Empty tables give no rows. Other columns are ignored, whatever their names.
 """
 
@@ -24,14 +26,13 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirlens.llm import tables
 
-#: Messages that wait for others are moved at most so often; what moves more is a cycle.
-ROUNDS = 32
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
@@ -146,24 +147,71 @@ def link(messages: DataFrame, schemas: dict[str, dict[str, Any]] | None = None)
     )
 
 
+def placed(turn: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """turn, order_turn and order_level of the messages of a conversation that must follow a later one.
+
+    The message at turn[k] follows the one at on[k]. Messages are placed once all they need is, so
+    each dependency is seen once, whatever the depth. If none can be, those left that lie on cycles or
+    between them are placed at their turns and the rest goes on.
+    """
+    turns, at = np.unique(np.concatenate([turn, on]), return_inverse=True)
+    n = len(turns)
+    late, early = at[: len(turn)], at[len(turn) :]
+
+    def lists(of: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))]), to[np.argsort(of, kind="stable")]
+
+    def targets(bounds: np.ndarray, to: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = bounds[nodes + 1] - bounds[nodes]
+        return np.repeat(nodes, size), to[np.arange(size.sum()) + np.repeat(bounds[nodes] - np.cumsum(size) + size, size)]
+
+    after, before = lists(early, late), lists(late, early)
+    needs, needed = np.bincount(late, minlength=n), np.bincount(early, minlength=n)
+    own = np.arange(n) * n
+    best = np.full(n, -1)  # the latest place of what it needs, as turn * n + level
+    place = np.full(n, -1)
+    ready = np.flatnonzero(needs == 0)
+    fixed = False
+    while True:
+        while len(ready):
+            place[ready] = own[ready] if fixed else np.where(best[ready] > own[ready], best[ready] + 1, own[ready])
+            fixed = False
+            source, target = targets(*after, ready)
+            np.maximum.at(best, target, place[source])
+            np.subtract.at(needs, target, 1)
+            ready = np.unique(target[(needs[target] == 0) & (place[target] < 0)])
+        left = place < 0
+        if not left.any():
+            break
+        wanted = needed.copy()
+        np.subtract.at(wanted, early[~left[late]], 1)
+        ends = np.flatnonzero(left & (wanted == 0))
+        while len(ends):  # nothing left needs these
+            left[ends] = False
+            _, target = targets(*before, ends)
+            np.subtract.at(wanted, target, 1)
+            ends = np.unique(target[left[target] & (wanted[target] == 0)])
+        ready, fixed = np.flatnonzero(left), True
+    moved = np.flatnonzero(place != own)
+    return turns[moved], turns[place[moved] // n], place[moved] % n
+
+
 def _moved(needs: DataFrame) -> DataFrame:
     """conv_id, turn, order_turn, order_level of the messages that must follow a later one.
 
     needs (conv_id, turn, on): the message at turn follows the one at `on`.
     """
-    empty = needs.sparkSession.createDataFrame([], "conv_id long, turn long, order_turn long, order_level int")
+
+    def work(table: pa.Table) -> pa.Table:
+        turn, order_turn, level = placed(table.column("turn").to_numpy(), table.column("on").to_numpy())
+        conv = pa.array([table.column("conv_id")[0].as_py()] * len(turn), pa.int64())
+        return pa.table({"conv_id": conv, "turn": pa.array(turn, pa.int64()), "order_turn": pa.array(order_turn, pa.int64()), "order_level": pa.array(level, pa.int32())})
+
+    schema = "conv_id long, turn long, order_turn long, order_level int"
     if needs.where("on > turn").isEmpty():
-        return empty
-    place = empty
-    for _ in range(ROUNDS):
-        at = needs.join(place.select("conv_id", F.col("turn").alias("on"), F.col("order_turn").alias("t"), F.col("order_level").alias("l")), ["conv_id", "on"], "left")
-        later = at.select("conv_id", "turn", F.coalesce("t", "on").alias("t"), F.coalesce("l", F.lit(0)).alias("l")).where("t > turn or (t = turn and l > 0)")
-        new = tables.cut(later.groupBy("conv_id", "turn").agg(F.max(F.struct("t", "l")).alias("m")).select("conv_id", "turn", F.col("m.t").alias("order_turn"), (F.col("m.l") + 1).alias("order_level")))
-        if new.exceptAll(place).isEmpty():
-            return new
-        changed = new.exceptAll(place).select("conv_id", "turn").distinct()
-        place = new
-    return place.join(changed, ["conv_id", "turn"], "left_anti")
+        return needs.sparkSession.createDataFrame([], schema)
+    some = needs.join(needs.where("on > turn").select("conv_id").distinct(), "conv_id", "left_semi")
+    return some.groupBy("conv_id").applyInArrow(work, schema)
 
 
 def op7_chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:

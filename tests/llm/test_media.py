@@ -196,6 +196,20 @@ def test_calls_are_linked_and_ordered(spark):
     assert by[2, 4]["message"] == '{"content":"{not json","role":"user"}'
 
 
+def test_long_chains_and_cycles_are_ordered(spark):
+    """Chains of 40 and 5000 calls, each of which needs the next; a cycle, with messages that need it or it needs."""
+    rows = []
+    for conv, n in ((1, 40), (2, 5000)):
+        rows += [(conv, i, "assistant", json.dumps({"tool_calls": [call(f"c{i}", {"a": {"$result": f"c{i + 1}"}} if i + 1 < n else {})]})) for i in range(n)]
+    needs = {0: [3, 8], 1: [2], 2: [], 3: [4], 4: [3, 9], 5: [0, 1], 8: [], 9: []}
+    rows += [(3, i, "assistant", json.dumps({"tool_calls": [call(f"c{i}", {"a": [{"$result": f"c{k}"} for k in on]})]})) for i, on in needs.items()]
+    found = tool_calls.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    order = lambda r: (r["order_turn"], r["order_level"], r["order_kind"], r["order_index"], r["turn"])
+    turns = lambda c: [r["turn"] for r in sorted((r for r in found if r["conv_id"] == c), key=order)]
+    assert turns(1) == list(range(39, -1, -1)) and turns(2) == list(range(4999, -1, -1))
+    assert turns(3) == [2, 1, 3, 4, 8, 0, 5, 9]
+
+
 def test_canonical_json_is_stable():
     assert tool_calls.canonical({"b": [1, {"z": 1, "a": "é"}], "a": None}) == '{"a":null,"b":[1,{"a":"é","z":1}]}'
 
