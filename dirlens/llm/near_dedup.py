@@ -9,13 +9,16 @@ number of equal coordinates that such a pair misses with a probability below 1e-
    counted, and each set is confirmed against the pivot it collides with most. A large group of
    copies is joined to its pivot here, and its lists are done.
 2. merge: in lists whose members are still in two or more components, pairs with `matches` equal
-   coordinates join components into clusters; a list gives a spanning forest, not its pairs.
-3. confirm: the members of each cluster meet, with their texts, in blocks of bounded size. Pairs
-   in one component are skipped, pairs with `matches` equal coordinates are confirmed, and a
-   block gives a spanning forest of its links.
+   coordinates join components into clusters.
+3. confirm: the members of each cluster meet, with their texts, and pairs at the threshold join
+   components.
 
-What is shipped is linear in the members, but for clusters over a block. Every link is confirmed
-on the full shingle sets. Sets are told apart by 64-bit hashes.
+Both deal their members into blocks of bounded size, first inside blocks and then, dealt again by
+component, across those that are not of one component yet (see `joined`). A block gives a spanning
+forest of pairs of component names. So a group of near copies of which a block's worth stays apart
+is sent a fixed number of times; only members of one cluster that stay unlinked in great numbers meet
+block by block. Every link is confirmed on the full shingle sets. Sets are told apart by 64-bit
+hashes.
 
 Input cases. Text null, empty or without a word: an empty set, linked with nothing. Fewer words
 than a shingle: the whole sequence is the one shingle. Repeated rows: both stay in the result,
@@ -38,8 +41,8 @@ from dirlens.llm.groups import whole_groups
 
 COORDINATES = 32
 #: Members of a list and members of a cluster compared pair by pair in one block; members compared
-#: with one pivot in one task.
-BLOCK, TEXTS, STAR = 2048, 256, 512
+#: with one pivot in one task; shingles to a matrix product.
+BLOCK, TEXTS, STAR, COLUMNS = 1024, 256, 512, 4096
 MISS = 1e-6
 
 
@@ -163,87 +166,118 @@ def confirmed(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) ->
     return dealt.mapInArrow(_confirmer(n, num, den), "a long, b long")
 
 
-def forest(component: np.ndarray, side: np.ndarray, signature: np.ndarray, least: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Pairs that join components, from those with `least` equal coordinates that `linked` confirms.
+def spanning(component: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of components that join all those with a True entry between their items in the square matrix `linked`."""
+    names, label = np.unique(component, return_inverse=True)
+    x, y = np.nonzero(np.triu(linked, 1) & (label[:, None] != label))
+    low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+    up = list(range(len(names)))
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    out = []
+    for pair in np.unique(low * len(names) + high).tolist():
+        i, j = top(pair // len(names)), top(pair % len(names))
+        if i != j:
+            up[max(i, j)] = min(i, j)
+            out.append((int(names[i]), int(names[j])))
+    return out
 
-    linked: of an item and others in order, the first few linked ones; those before the last of
-    them that it leaves out are not linked. side: if two values occur, only pairs across them are
-    looked at.
-    """
-    label = np.unique(component, return_inverse=True)[1]
-    every = np.arange(len(label))
-    across = side.min() != side.max()
-    for x in every[side == side.min()].tolist() if across else every.tolist():
-        other = every[(side != side[x]) & (label != label[x])] if across else every[x + 1 :][label[x + 1 :] != label[x]]
-        if not len(other):
-            continue
-        other = other[(signature[other] == signature[x]).sum(axis=1) >= least]
-        while len(other):
-            sure = linked(x, other)
-            if not len(sure):
-                break
-            joined, first = np.unique(label[sure], return_index=True)
-            for y in sure[first].tolist():
-                yield x, y
-            label[np.isin(label, joined)] = label[x]
-            other = other[(other > sure[-1]) & (label[other] != label[x])]
-
-
-def _merger(coordinates: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (key, i, j, block, component, v, signature) in order of (key, i, j)."""
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def matching(signatures: np.ndarray, least: int) -> np.ndarray:
+    """Which rows have `least` equal coordinates or more."""
+    equal = np.zeros((len(signatures), len(signatures)), dtype=np.uint8)
+    for column in signatures.T:
+        equal += column[:, None] == column
+    return equal >= least
+
+
+def similar(sets: np.ndarray, bounds: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which of the sets reach the threshold, by counts of common members from products of 0/1 matrices."""
+    size = np.diff(bounds)
+    member = np.unique(sets, return_inverse=True)[1]
+    shared = np.bincount(member) > 1
+    column = np.cumsum(shared)[member] - 1
+    item = np.repeat(np.arange(len(size)), size)[shared[member]]
+    column = column[shared[member]]
+    order = np.argsort(column, kind="stable")
+    item, column = item[order], column[order]
+    common = np.zeros((len(size), len(size)), dtype=np.float64)
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        s, e = np.searchsorted(column, [lo, lo + COLUMNS])
+        held = np.zeros((len(size), COLUMNS), dtype=np.float32)
+        held[item[s:e], column[s:e] - lo] = 1
+        common += held @ held.T
+    return den * common >= num * (size[:, None] + size - common)
+
+
+def _in_groups(pairs_of: Callable[[np.ndarray, pa.Array], list[tuple[int, int]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (key, i, j, component, payload) in order of (key, i, j) to pairs of components of each (key, i, j)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, 3):
-            block, component, v = (table.column(c).to_numpy() for c in (3, 4, 5))
-            ids = np.stack([table.column(c).to_numpy() for c in (1, 2)], axis=1)
-            signature = text.buffers(table.column(6))[0].view(np.uint32).reshape(-1, coordinates)
-            found = []
+            component, payload = table.column(3).to_numpy(), table.column(4).combine_chunks()
+            found: list[tuple[int, int]] = []
             for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                if e - s > 1 and (ids[s, 0] == ids[s, 1] or block[s:e].min() != block[s:e].max()):
-                    found += [(v[s + x], v[s + y]) for x, y in forest(component[s:e], block[s:e], signature[s:e], least, lambda _, other: other)]
-            yield _pairs(found)
+                if e - s > 1 and component[s:e].min() != component[s:e].max():
+                    found += pairs_of(component[s:e], payload.slice(s, e - s))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
-    return merge
+    return work
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+def _by_signature(coordinates: int, least: int) -> Callable[[np.ndarray, pa.Array], list[tuple[int, int]]]:
+    return lambda component, payload: spanning(component, matching(text.buffers(payload)[0].view(np.uint32).reshape(-1, coordinates), least))
 
 
-def _cluster_confirmer(n: int, num: int, den: int, coordinates: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (cluster, i, j, block, component, v, text) in order of (cluster, i, j)."""
+def _by_text(n: int, num: int, den: int) -> Callable[[np.ndarray, pa.Array], list[tuple[int, int]]]:
+    def pairs(component: np.ndarray, payload: pa.Array) -> list[tuple[int, int]]:
+        body, offsets = text.buffers(payload)
+        return spanning(component, similar(*shingle_sets(text.Words(body, offsets, 0, len(payload), lower=True), n), num, den))
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, at in whole_groups(batches, 3):
-            block, component, v = (table.column(c).to_numpy() for c in (3, 4, 5))
-            ids = np.stack([table.column(c).to_numpy() for c in (1, 2)], axis=1)
-            body, offsets = text.buffers(table.column(6))
-            found: list[tuple[int, int]] = []
-            for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                if component[s:e].min() == component[s:e].max() or ids[s, 0] != ids[s, 1] and block[s:e].min() == block[s:e].max():
-                    continue
-                sets, bounds = shingle_sets(text.Words(body, offsets, s, e, lower=True), n)
-                size = np.diff(bounds)
-
-                def linked(x: int, other: np.ndarray, sets: np.ndarray = sets, bounds: np.ndarray = bounds, size: np.ndarray = size) -> np.ndarray:
-                    mine = sets[bounds[x] : bounds[x + 1]]
-                    for y in other[den * np.minimum(size[other], size[x]) >= num * np.maximum(size[other], size[x])].tolist():
-                        its = sets[bounds[y] : bounds[y + 1]]
-                        both = int(np.count_nonzero(mine[np.minimum(np.searchsorted(mine, its), len(mine) - 1)] == its))
-                        if den * both >= num * (len(mine) + len(its) - both):
-                            return np.array([y])
-                    return other[:0]
+    return pairs
 
-                found += [(v[s + x], v[s + y]) for x, y in forest(component[s:e], block[s:e], signatures(sets, bounds[:-1], coordinates), least, linked)]
-            yield _pairs(found)
 
-    return confirm
+def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable[[np.ndarray, pa.Array], list[tuple[int, int]]]) -> DataFrame:
+    """(id, component): what `pairs_of` makes of the components within the keys of members (key, v, component).
 
+    As tables.components: components that are joined with others, and the name they have now. payload: (v, payload). All pairs of members of a key in different components are looked at, in two
+    rounds. The first deals each key by hash into blocks of about `size` and looks inside the blocks. In
+    the second, large keys are dealt again, now by component: a large component fills blocks of its
+    own, small ones share theirs, and pairs of blocks are looked at unless both are of one component.
+    So where the first round joins nearly all, members meet the few that are left once. What is sent
+    is one row for a member and block it meets, and pairs of component names, not of members.
+    """
 
-def _blocked(rows: DataFrame, key: str) -> DataFrame:
-    """rows (key, v, blocks, ...) once for each pair of blocks (i, j) that their own block is of."""
-    own = rows.withColumn("block", F.pmod(F.hash("v", F.lit(3)), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return own.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    def look(rows: DataFrame) -> DataFrame:
+        dealt = rows.join(payload, "v").select("key", "i", "j", "component", "payload").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return tables.cut(dealt.mapInArrow(_in_groups(pairs_of), "a long, b long").distinct())
+
+    count = F.count("*").alias("n")
+    some = members.groupBy("key").agg(count, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", "n")
+    members = tables.cut(members.join(some, "key"))
+    block = F.pmod(F.hash("v", F.lit(3)), F.ceil(F.col("n") / size)).cast("long")
+    found = look(members.select("key", block.alias("i"), block.alias("j"), "component", "v"))
+    up = tables.components(found)
+    large = members.where(F.col("n") > size).drop("n")
+    if large.isEmpty():
+        return up
+    now = large.join(up.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left")
+    now = tables.cut(now.select("key", "v", F.coalesce("up", "component").alias("component")))
+    parts = now.groupBy("key", "component").agg(count)
+    keys = parts.groupBy("key").agg(F.sum(F.when(F.col("n") < size, F.col("n"))).alias("small"), count.alias("parts")).where("parts > 1")
+    alone = F.col("n") >= size
+    number = F.when(alone, F.xxhash64("component", F.pmod(F.hash("v", F.lit(5)), F.ceil(F.col("n") / size)))).otherwise(F.pmod(F.hash("component", F.lit(7)), F.ceil(F.col("small") / size)).cast("long"))
+    dealt = tables.cut(now.join(parts, ["key", "component"]).join(keys, "key").select("key", "v", "component", number.alias("block"), F.when(alone, F.col("component")).alias("only")))
+    blocks = dealt.select("key", "block", "only").distinct()
+    other = blocks.select("key", F.col("block").alias("other"), F.col("only").alias("its"))
+    meets = blocks.join(other, "key").where(~F.coalesce(F.col("only") == F.col("its"), F.lit(False))).select("key", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    more = tables.components(look(dealt.join(meets, ["key", "block"]).select("key", "i", "j", "component", "v")))
+    both = up.join(more.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "full_outer")
+    return tables.cut(both.select(F.coalesce("id", "component").alias("id"), F.coalesce("top", "component").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, coordinates: int = COORDINATES) -> DataFrame:
@@ -268,20 +302,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     links = tables.cut(confirmed(docs, best.select(F.col("best.pivot").alias("a"), F.col("v").alias("b")), n, num, den))
     label = tables.components(links)
 
-    named = listed.join(label.withColumnRenamed("id", "v"), "v", "left").select("key", "v", F.coalesce("component", "v").alias("component"))
-    open_lists = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-    open_rows = named.join(open_lists.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key").join(chosen.select(F.col("rid").alias("v"), "signature"), "v")
-    dealt = _blocked(open_rows, "key").select("key", "i", "j", "block", "component", "v", "signature").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    near = tables.cut(dealt.mapInArrow(_merger(coordinates, least), "a long, b long").distinct())
-    if not near.isEmpty():
-        cluster = tables.components(links.unionByName(near)).withColumnRenamed("component", "cluster")
-        parts = cluster.withColumnRenamed("id", "v").join(label.withColumnRenamed("id", "v"), "v", "left").select("cluster", "v", F.coalesce("component", "v").alias("component"))
-        mixed = parts.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-        met = _blocked(parts.join(mixed.select("cluster", F.ceil(F.col("size") / TEXTS).cast("int").alias("blocks")), "cluster"), "cluster")
-        rows = docs.withColumnRenamed("rid", "v").join(met, "v").select("cluster", "i", "j", "block", "component", "v", "text")
-        dealt = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-        more = dealt.mapInArrow(_cluster_confirmer(n, num, den, coordinates, least), "a long, b long")
-        label = tables.components(links.unionByName(more))
+    def component_of(rows: DataFrame) -> DataFrame:
+        return rows.join(label.withColumnRenamed("id", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
+
+    near = joined(component_of(listed.select("key", "v")), chosen.select(F.col("rid").alias("v"), F.col("signature").alias("payload")), BLOCK, _by_signature(coordinates, least))
+    cluster = near.select(F.col("id").alias("component"), F.col("component").alias("key"))
+    members = component_of(chosen.select(F.col("rid").alias("v"))).join(cluster, "component")
+    more = joined(members, docs.select(F.col("rid").alias("v"), F.col("text").alias("payload")), TEXTS, _by_text(n, num, den))
+    top = more.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    label = tables.cut(component_of(chosen.select(F.col("rid").alias("v"))).join(top, "component", "left").select(F.col("v").alias("id"), F.coalesce("top", "component").alias("component")))
 
     group = first.join(label.withColumnRenamed("id", "v"), "v", "left").select("node", F.coalesce("component", "v").alias("group"))
     smallest = some.groupBy("node").agg(F.min("doc_id").alias("d")).join(group, "node").groupBy("group").agg(F.min("d").alias("component_id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirlens.operators.lineage import checkpoint_folder, cut
@@ -17,20 +17,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(id, component): component is the smallest id reachable over edges (a, b).
 
-    Each round lowers labels over the edges and then follows each label's own label, so a long
-    chain takes a logarithmic number of rounds. Rounds end when nothing changes. Only ids that
-    have an edge are returned. Edges with a null end and loops are ignored.
+    Ids get pseudo-random names (a bijection). Each round points each name to the least one among
+    itself and its neighbours, follows the pointer twice more, and contracts the edges to distinct
+    pairs of names. So edges shrink by a factor each round, and a long chain or a large star takes few.
+    Rounds end when no edge is left. Only ids that have an edge are returned. Edges with a null end and
+    loops are ignored.
     """
-    both = edges.where("a <> b").select("a", "b")
-    both = cut(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")))
-    for _ in range(most_rounds):
-        near = both.join(label.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
-        lower = label.join(near, "id").select("id", F.col("component").alias("old"), F.least("component", "m").alias("c1"))
-        own = label.select(F.col("id").alias("c1"), F.col("component").alias("c2"))
-        new = cut(lower.join(own, "c1", "left").select("id", "old", F.least("c1", F.coalesce("c2", "c1")).alias("component")))
-        changed = not new.where("old <> component").isEmpty()
-        label = new.select("id", "component")
-        if not changed:
-            return label
-    raise RuntimeError("labels still change; raise most_rounds")
+
+    def pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
+        return cut(rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct())
+
+    some = edges.where("a <> b")
+    left = pairs(some, F.xxhash64("a"), F.xxhash64("b"))
+    steps: list[DataFrame] = []
+    while not left.isEmpty():
+        if len(steps) == most_rounds:
+            raise RuntimeError("edges are still left; raise most_rounds")
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = both.groupBy(F.col("a").alias("name")).agg(F.min("b").alias("b")).select("name", F.least("name", "b").alias("up"))
+        for _ in range(2):
+            up = up.join(up.select(F.col("name").alias("up"), F.col("up").alias("top")), "up").select("name", F.col("top").alias("up"))
+        steps.append(cut(up))
+        named = left
+        for end in ("a", "b"):
+            named = named.join(steps[-1].select(F.col("name").alias(end), F.col("up").alias(f"{end}_up")), end)
+        left = pairs(named, F.col("a_up"), F.col("b_up"))
+    if not steps:
+        return left.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    label = steps[-1]
+    for step in reversed(steps[:-1]):
+        label = step.join(label.select(F.col("name").alias("up"), F.col("up").alias("top")), "up", "left").select("name", F.coalesce("top", "up").alias("up"))
+    ids = some.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.xxhash64("id").alias("name"))
+    label = cut(ids.join(label, "name").select("id", "up"))
+    smallest = label.groupBy("up").agg(F.min("id").alias("component"))
+    return cut(label.join(smallest, "up").select("id", "component"))

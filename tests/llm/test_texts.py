@@ -83,6 +83,26 @@ def test_near_duplicates_of_a_template(spark):
     assert len(set(found.values())) > 3
 
 
+def test_edges_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    """Four times the copies of a template give about four times the edges, over several blocks."""
+    base = [f"w{i}" for i in range(60)]
+    edges, whole = [], tables.components
+    monkeypatch.setattr(tables, "components", lambda e: (edges.append(e.count()), whole(e))[1])
+    counts = []
+    for n in (500, 2000):
+        rng, rows = random.Random(n), []
+        for i in range(n):
+            t = list(base)
+            for _ in range(rng.randint(0, 4) if i else 0):
+                t[rng.randrange(60)] = f"x{rng.randint(0, 99)}"
+            rows.append((i, " ".join(t)))
+        edges.clear()
+        found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85)
+        assert found.where("component_id = 0").count() > n // 4
+        counts.append(sum(edges))
+    assert counts[1] <= 4.5 * counts[0]
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert near_dedup.near_duplicates(no_docs).collect() == []
 
@@ -143,7 +163,7 @@ def test_banded_distance():
     for _ in range(3000):
         a = bytes(rng.choice(b"abcd") for _ in range(rng.randint(0, 16)))
         b = bytearray(a)
-        for _ in range(rng.randint(0, 4)):
+        for _ in range(rng.randint(0, 4) if i else 0):
             at = rng.randint(0, len(b))
             b[at : at + rng.randint(0, 1)] = bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 1)))
         for tau in (1, 2, 3):
