@@ -161,7 +161,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) ->
     size = pairs.groupBy("a").count()
     member = pairs.join(size, "a").select("a", F.pmod(F.hash("b"), F.ceil(F.col("count") / STAR).cast("int")).alias("salt"), "b")
     need = member.select("a", "salt", "b", F.col("b").alias("rid")).unionByName(member.select("a", "salt", F.lit(None).cast("long").alias("b"), F.col("a").alias("rid")).distinct())
-    rows = docs.join(need, "rid").select("a", "salt", "b", "text")
+    rows = docs.join(need.hint("merge"), "rid").select("a", "salt", "b", "text")
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return dealt.mapInArrow(_confirmer(n, num, den), "a long, b long")
 
@@ -249,11 +249,12 @@ def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable
     the second, large keys are dealt again, now by component: a large component fills blocks of its
     own, small ones share theirs, and pairs of blocks are looked at unless both are of one component.
     So where the first round joins nearly all, members meet the few that are left once. What is sent
-    is one row for a member and block it meets, and pairs of component names, not of members.
+    is one row for a member and block it meets, and pairs of component names, not of members. The
+    payload is joined in the same way at every size: members outgrow a broadcast as a corpus grows.
     """
 
     def look(rows: DataFrame) -> DataFrame:
-        dealt = rows.join(payload, "v").select("key", "i", "j", "component", "payload").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        dealt = rows.hint("merge").join(payload, "v").select("key", "i", "j", "component", "payload").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         return tables.cut(dealt.mapInArrow(_in_groups(pairs_of), "a long, b long").distinct())
 
     count = F.count("*").alias("n")
