@@ -112,7 +112,9 @@ def test_match_and_prefix_numbers():
     assert 14 <= near_dedup.matches_needed(32, 85, 100) <= 17
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("few", [0, 250_000])
+def test_components_of_a_long_chain(spark, monkeypatch, few):
+    monkeypatch.setattr(tables, "FEW_EDGES", few)
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 200), (300, 301)], "a long, b long")
     found = dict(map(tuple, tables.components(edges).collect()))
     assert found == {i: 0 for i in range(101)} | {300: 300, 301: 300}
