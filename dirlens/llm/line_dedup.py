@@ -4,8 +4,10 @@ Method. A line is cut into tau + 1 even segments; two lines within tau edits sha
 shifted by tau at most. Each distinct line posts its segments under (length, number, content) and
 probes the substrings, chosen by length and position, that can equal a segment of a line up to
 tau shorter. Lists that hold one line only are dropped by a count with map-side aggregation; the
-lines of the other lists are compared in blocks of bounded size, each pair by a banded bit-parallel
-edit distance. Distances and lengths are in UTF-8 bytes of the trimmed line.
+lines of the other lists are compared in blocks of bounded size, each pair in the list of the first
+segment it shares, by a banded bit-parallel edit distance. A block gives the number of links of each
+line and a spanning forest of them, not its pairs. Distances and lengths are in UTF-8 bytes of the
+trimmed line.
 
 Linked and equal lines form classes. A class that stands at `min_places` or more different places
 (lines of the document, number of the line) is boilerplate: all its lines but the first go.
@@ -14,12 +16,15 @@ document-level step that follows.
 
 The pipeline takes `drop_repeated_lines` instead: every line with a word counts, a class is repeated if
 it stands in `MIN_DOCS` or more distinct texts, wherever it stands there, and all its lines but the first
-go. Equal texts count once, and copies of the text with the first line keep theirs too. Lines of
+go. Equal texts count once, and copies of the text with the first line keep theirs too. Near copies are
+left to the document-level step: each line has a sketch of its text, the least hash of the other lines
+there, and a class is not repeated if more than half of its texts share one sketch. Lines of
 `SHORT_BYTES` or fewer are equal or apart; those below `MIN_BYTES` may be one edit apart.
 
 Input cases. Text null or empty: no lines. In the query, lines shorter than `min_bytes` are left alone
 and are in no class. Equal lines, ties: the first is the least (doc_id, number). Repeated rows: each is
-treated alike. A null doc_id sorts last. Other columns are ignored, whatever their names.
+treated alike. A null doc_id sorts last. Rows that share an id, or have none, are told apart by a digest of
+their texts. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirlens.llm import tables, text
@@ -126,6 +131,17 @@ class Lines:
         self.sums = text.prefix(text.BYTE_VALUE[self.data])
         self.hash = text.span_hash(self.sums, self.start, self.end)
 
+    def sketch(self) -> np.ndarray:
+        """Of each line, the least mixed hash of the lines of its text that differ from it."""
+        mixed = text.mix(self.hash * text.BASE)
+        at = np.flatnonzero(np.diff(self.doc, prepend=-1))
+        if not len(at):
+            return mixed
+        owner = np.cumsum(np.diff(self.doc, prepend=-1) != 0) - 1
+        least = np.minimum.reduceat(mixed, at)[owner]
+        rest = np.where(mixed == least, np.uint64(2**64 - 1), mixed)
+        return np.where(mixed == least, np.minimum.reduceat(rest, at)[owner], least)
+
 
 def _occurrences(min_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(doc_id, text, ...) to a row for each line; further columns go along."""
@@ -138,26 +154,31 @@ def _occurrences(min_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 doc = pa.array(x.doc + lo)
                 more = batch.schema.names[2:]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(doc), pa.array(x.number.astype(np.int32)), pa.array(x.lines[x.doc].astype(np.int32)), pa.array(text.signed(x.hash)), *(batch.column(c).take(doc) for c in more)],
-                    names=["doc_id", "line_no", "n_lines", "line", *more],
+                    [batch.column(0).take(doc), pa.array(x.number.astype(np.int32)), pa.array(x.lines[x.doc].astype(np.int32)), pa.array(text.signed(x.hash)), pa.array(text.signed(x.sketch())), *(batch.column(c).take(doc) for c in more)],
+                    names=["doc_id", "line_no", "n_lines", "line", "sketch", *more],
                 )
 
     return find
 
 
-def _postings(lines: Lines, tau: int) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
-    """(own segment?, keys, lines they belong to) for each kind of posting; one of each distinct line."""
+def shifts(tau: int, i: int, shorter: int) -> range:
+    """By how much segment i of a line that is so much shorter may be shifted."""
+    return range(max(-i, shorter - (tau - i)), min(i, shorter + (tau - i)) + 1)
+
+
+def _postings(lines: Lines, tau: int) -> Iterator[tuple[bool, int, np.ndarray, np.ndarray]]:
+    """(own segment?, its number, keys, lines they belong to) for each kind of posting; one of each distinct line."""
     _, one = np.unique(lines.hash, return_index=True)
     start, length = lines.start[one], (lines.end - lines.start)[one]
     for shorter in range(tau + 1):
         other = length - shorter
         for i in range(tau + 1):
             at, size = segments(other, tau, i)
-            for shift in range(max(-i, shorter - (tau - i)), min(i, shorter + (tau - i)) + 1):
+            for shift in shifts(tau, i, shorter):
                 fits = np.flatnonzero((at + shift >= 0) & (at + shift + size <= length) & (other > tau))
                 begin = start[fits] + at[fits] + shift
                 key = text.mix(text.span_hash(lines.sums, begin, begin + size[fits]) + other[fits].astype(np.uint64) * np.uint64(64) + np.uint64(i))
-                yield shorter == 0 and shift == 0, key, one[fits]
+                yield shorter == 0 and shift == 0, i, key, one[fits]
 
 
 def _keys(tau: int, min_bytes: int, max_bytes: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -166,7 +187,7 @@ def _keys(tau: int, min_bytes: int, max_bytes: int | None) -> Callable[[Iterator
             body, offsets = text.buffers(batch.column(0))
             for lo, hi in text.slices(offsets):
                 lines = Lines(body, offsets, lo, hi, min_bytes, max_bytes)
-                made = [(key, which) for _, key, which in _postings(lines, tau)]
+                made = [(key, which) for _, _, key, which in _postings(lines, tau)]
                 keys, which = (np.concatenate(x) for x in zip(*made, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(text.signed(keys)), pa.array(text.signed(lines.hash[which]))], names=["key", "line"])
 
@@ -183,43 +204,71 @@ def _filtered(tau: int, min_bytes: int, max_bytes: int | None, passing) -> Calla
             body, offsets = text.buffers(batch.column(0))
             for lo, hi in text.slices(offsets):
                 lines = Lines(body, offsets, lo, hi, min_bytes, max_bytes)
-                for own, key, which in _postings(lines, tau):
+                for own, segment, key, which in _postings(lines, tau):
                     place = (key & low).astype(np.int64)
                     hit = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
                     if len(hit):
                         which = which[hit]
                         texts = [lines.data[s:e].tobytes() for s, e in zip(lines.start[which].tolist(), lines.end[which].tolist(), strict=True)]
-                        yield pa.RecordBatch.from_arrays([pa.array(text.signed(key[hit])), pa.array(text.signed(lines.hash[which])), pa.array(np.full(len(hit), own)), pa.array(texts, pa.binary())], names=["key", "line", "own", "body"])
+                        yield pa.RecordBatch.from_arrays([pa.array(text.signed(key[hit])), pa.array(text.signed(lines.hash[which])), pa.array(np.full(len(hit), segment if own else -1, np.int32)), pa.array(texts, pa.binary())], names=["key", "line", "own", "body"])
 
     return post
 
 
+def first_shared(short: bytes, long: bytes, tau: int, until: int) -> int:
+    """The first segment of `short`, below `until`, that stands in `long` within its shifts; else `until`."""
+    small, more = divmod(len(short), tau + 1)
+    at = 0
+    for i in range(until):
+        size = small + (i >= tau + 1 - more)
+        part = short[at : at + size]
+        if any(at + s >= 0 and long[at + s : at + s + size] == part for s in shifts(tau, i, len(long) - len(short))):
+            return i
+        at += size
+    return until
+
+
 def _compare(tau: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (key, i, j, block, line, own, body) in order of (key, i, j): links between own and other postings."""
+    """Rows (key, i, j, block, line, own, body) in order of (key, i, j) to (a, b, n): a forest of links, and of
+    each line, with b null, the number of its links found here. own: the number of the own segment, or -1.
+
+    A pair is looked at in one list only, that of the first segment of the shorter line, or of the one with the
+    lesser hash, that the other shares.
+    """
+
+    def links(line: list[int], own: list[int], bodies: list[bytes], block: list[int], across: bool) -> Iterator[tuple[int, int]]:
+        for x in (k for k, segment in enumerate(own) if segment >= 0):
+            mine, rank = bodies[x], (len(bodies[x]), line[x])
+            for y, other in enumerate(bodies):
+                if rank >= (len(other), line[y]) or len(other) - rank[0] > tau or across and block[x] == block[y]:
+                    continue
+                if first_shared(mine, other, tau, own[x]) == own[x] and edits_within(mine, other, tau):
+                    yield x, y
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, 3):
-            left, right = [], []
+            out: list[tuple[int, int | None, int]] = []
             i, j, block, line, own = (table.column(c).to_pylist() for c in range(1, 6))
             body = table.column(6)
             for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                if e - s < 2 or not any(own[s:e]):
+                if e - s < 2 or max(own[s:e]) < 0:
                     continue
-                bodies = body.slice(s, e - s).to_pylist()
-                done = set()
-                for x in range(s, e):
-                    if not own[x]:
-                        continue
-                    for y in range(s, e):
-                        if line[x] == line[y] or i[s] != j[s] and block[x] == block[y]:
-                            continue
-                        pair = (min(line[x], line[y]), max(line[x], line[y]))
-                        if pair not in done:
-                            done.add(pair)
-                            if edits_within(bodies[x - s], bodies[y - s], tau):
-                                left.append(pair[0])
-                                right.append(pair[1])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                up, many = list(range(e - s)), [0] * (e - s)
+
+                def top(k: int, up: list[int] = up) -> int:
+                    while up[k] != k:
+                        up[k] = k = up[up[k]]
+                    return k
+
+                for x, y in links(line[s:e], own[s:e], body.slice(s, e - s).to_pylist(), block[s:e], i[s] != j[s]):
+                    many[x] += 1
+                    many[y] += 1
+                    a, b = top(x), top(y)
+                    if a != b:
+                        up[max(a, b)] = min(a, b)
+                        out.append((line[s + x], line[s + y], 0))
+                out += [(line[s + k], None, n) for k, n in enumerate(many) if n]
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], names=["a", "b", "n"])
 
     return compare
 
@@ -234,29 +283,29 @@ def _filter(lists: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def edit_links(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, max_bytes: int | None = None) -> DataFrame:
-    """(a, b), a < b: hashes of distinct lines of docs (text), of min_bytes to max_bytes, within tau edits of each other."""
+def edit_links(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of the distinct lines of docs (text) of min_bytes to max_bytes, by their hashes: pairs (a, b) that connect
+    all lines within tau edits of each other, and (line, n_links), the number of such lines of each that has any."""
     posted = docs.select("text").mapInArrow(_keys(tau, min_bytes, max_bytes), "key long, line long")
     lists = posted.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key")
     passing = docs.sparkSession.sparkContext.broadcast(_filter(lists))
-    rows = docs.select("text").mapInArrow(_filtered(tau, min_bytes, max_bytes, passing), "key long, line long, own boolean, body binary")
+    rows = docs.select("text").mapInArrow(_filtered(tau, min_bytes, max_bytes, passing), "key long, line long, own int, body binary")
     # a line's own posting probes too, so it stands for both
     members = tables.cut(rows.groupBy("key", "line").agg(F.max("own").alias("own"), F.min("body").alias("body")))
-    size = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    size = members.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("most")).where("n > 1 and most >= 0").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     own = members.join(size, "key").withColumn("block", F.pmod(F.hash("line"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "line", "own", "body").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_compare(tau), "a long, b long").distinct()
+    found = tables.cut(dealt.mapInArrow(_compare(tau), "a long, b long, n long"))
+    degree = found.where("b is null").groupBy(F.col("a").alias("line")).agg(F.sum("n").alias("n_links"))
+    return found.where("b is not null").select("a", "b").distinct(), degree
 
 
-def line_classes(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, min_places: int = MIN_PLACES) -> DataFrame:
-    """One row for each line of min_bytes or more: doc_id, line_no, class_doc_id, class_line_no, n_links, n_places, removed."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    links = tables.cut(edit_links(docs, tau, min_bytes))
-    label = tables.components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").agg(F.count("*").alias("n_links"))
-    named = label.withColumnRenamed("id", "line").join(degree, "line")
-    found = docs.mapInArrow(_occurrences(min_bytes), "doc_id long, line_no int, n_lines int, line long")
-    lines = tables.cut(found.join(named, "line", "left").select("doc_id", "line_no", "n_lines", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+def _classified(docs: DataFrame, tau: int, min_bytes: int, min_places: int) -> DataFrame:
+    """line_classes of docs (doc_id, text), and the digest of each row's text as `copy`."""
+    links, degree = edit_links(docs, tau, min_bytes)
+    named = tables.components(tables.cut(links)).withColumnRenamed("id", "line").join(degree, "line")
+    found = docs.withColumn("copy", digest()).mapInArrow(_occurrences(min_bytes), "doc_id long, line_no int, n_lines int, line long, sketch long, copy binary")
+    lines = tables.cut(found.join(named, "line", "left").select("doc_id", "copy", "line_no", "n_lines", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     places = lines.groupBy("class", "n_lines", "line_no").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"))
     classes = places.groupBy("class").agg(F.count("*").alias("n_places"), F.sum("n").alias("n"), F.min(F.struct(F.col("d").isNull().alias("unnamed"), "d", "line_no")).alias("first"))
     out = lines.join(classes.where("n > 1"), "class", "left")
@@ -264,28 +313,40 @@ def line_classes(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, mi
     first_line = F.when(F.col("first").isNull(), F.col("line_no")).otherwise(F.col("first.line_no"))
     own = F.col("doc_id").eqNullSafe(first_doc) & (F.col("line_no") == first_line)
     n_places = F.coalesce("n_places", F.lit(1)).cast("long")
-    return out.select("doc_id", "line_no", first_doc.alias("class_doc_id"), first_line.alias("class_line_no"), "n_links", n_places.alias("n_places"), ((n_places >= min_places) & ~own).alias("removed"))
+    return out.select("copy", "doc_id", "line_no", first_doc.alias("class_doc_id"), first_line.alias("class_line_no"), "n_links", n_places.alias("n_places"), ((n_places >= min_places) & ~own).alias("removed"))
+
+
+def digest() -> Column:
+    """A 128-bit digest of a text: rows that share an id, or have none, are told apart by it."""
+    return F.unhex(F.md5("text"))
+
+
+def line_classes(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, min_places: int = MIN_PLACES) -> DataFrame:
+    """One row for each line of min_bytes or more: doc_id, line_no, class_doc_id, class_line_no, n_links, n_places, removed."""
+    return _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tau, min_bytes, min_places).drop("copy")
 
 
-def drop_boilerplate(docs: DataFrame, **settings: int) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, min_places: int = MIN_PLACES) -> DataFrame:
     """docs (doc_id, text, ...) without boilerplate lines; every other byte of a text stays as it is.
 
     A document left without a word goes; one that had none before stays.
     """
-    return _without(docs, line_classes(docs, **settings).where("removed"))
+    found = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tau, min_bytes, min_places)
+    return _without(docs, found.where("removed"))
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id and line_no of the lines of docs (doc_id, text) to remove as repeated in min_docs distinct texts or more."""
+    """doc_id, digest of the text (copy) and line_no of the lines of docs (doc_id, text) to remove as repeated."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    links = edit_links(docs).unionAll(edit_links(docs, 1, SHORT_BYTES + 1, MIN_BYTES))
+    links = edit_links(docs)[0].unionAll(edit_links(docs, 1, SHORT_BYTES + 1, MIN_BYTES)[0])
     label = tables.components(tables.cut(links.distinct()))
-    found = docs.withColumn("copy", F.xxhash64("text")).mapInArrow(_occurrences(1), "doc_id long, line_no int, n_lines int, line long, copy long")
-    lines = tables.cut(found.join(label.withColumnRenamed("id", "line"), "line", "left").select("doc_id", "line_no", "copy", F.coalesce("component", "line").alias("class")))
-    texts = lines.groupBy("class", "copy").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first"))
-    classes = texts.groupBy("class").agg(F.count("*").alias("n"), F.min(F.struct("first", "copy")).alias("least")).where(F.col("n") >= min_docs)
+    found = docs.withColumn("copy", digest()).mapInArrow(_occurrences(1), "doc_id long, line_no int, n_lines int, line long, sketch long, copy binary")
+    lines = tables.cut(found.join(label.withColumnRenamed("id", "line"), "line", "left").select("doc_id", "line_no", "copy", "sketch", F.coalesce("component", "line").alias("class")))
+    texts = lines.groupBy("class", "copy").agg(F.min("sketch").alias("sketch"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first"))
+    alike = texts.groupBy("class", "sketch").agg(F.count("*").alias("n"), F.min(F.struct("first", "copy")).alias("least"))
+    classes = alike.groupBy("class").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("least").alias("least")).where((F.col("n") >= min_docs) & (2 * F.col("most") <= F.col("n")))
     own = (F.col("copy") == F.col("least.copy")) & (F.col("line_no") == F.col("least.first.line_no"))
-    return lines.join(classes, "class").where(~own).select("doc_id", "line_no")
+    return lines.join(classes, "class").where(~own).select("doc_id", "copy", "line_no")
 
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -294,9 +355,11 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def _without(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    gone = removed.groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    """docs without the lines of removed (doc_id, copy, line_no)."""
+    gone = removed.groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).agg(F.collect_set("line_no").alias("gone"))
     # the row goes along as one column, so that its names don't meet ours
-    joined = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id")).join(gone, F.col("id").eqNullSafe(gone["doc_id"]), "left")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), digest().alias("copy"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")), "left")
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains("gone", i)), "\n")
     new = joined.withColumn("new", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept))
     left = new.where(F.col("gone").isNull() | F.col("new").rlike(r"[^ \t\n\x0B\f\r]"))

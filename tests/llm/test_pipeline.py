@@ -78,3 +78,17 @@ def test_repeated_lines_go_wherever_they_stand(spark):
     found = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF).collect()}
     whole = {0, 50, 51, 52} | set(range(80, 110))
     assert found == {i: t if i in whole else f"{own(i)}\n{own(100 + i)}" for i, t in rows}
+
+
+def test_line_stage_tells_rows_of_one_id_apart(spark):
+    """Rows that share an id, or have none, lose no lines of each other; near copies keep theirs."""
+    own = lambda i: f"{'abcdefghij'[i % 10] * 12} {i} {'klmnopqrst'[i * 7 % 10] * 12}"
+    boiler = "Released under the MIT license"
+    rows = [(i, f"{own(i)}\n{boiler}\n{own(100 + i)}") for i in range(20)]
+    rows += [(3, f"{own(200)}\nanother line of the same id\n{own(201)}"), (None, f"{own(202)}\nno id here\n{own(203)}"), (None, f"{own(204)}\n{boiler}\n{own(205)}")]
+    base = [f"{'uvwxyz'[i % 6] * 9} {i} of one text" for i in range(12)]
+    near = [(500 + i, "\n".join(base[: i % 12] + [f"edited {i * 77777}"] + base[i % 12 + 1 :])) for i in range(60)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows + near], "doc_id long, text string, lang string, source string, n_chars long")
+    found = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF).collect()]
+    expected = [(d, t if d == 0 else "\n".join(x for x in t.split("\n") if x != boiler)) for d, t in rows] + near
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
