@@ -6,12 +6,14 @@ import hashlib
 import io
 import json
 import random
+import shutil
 import wave
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from compare import assert_same
 
 from dirlens.llm import audio, html_extract, tool_calls
 
@@ -161,6 +163,58 @@ def test_arguments_are_validated(value, wrong):
     assert len(tool_calls.faults(value, SCHEMAS["add"])) == wrong
 
 
+@pytest.mark.parametrize(
+    "schema,value,wrong",
+    [
+        ({"type": ["string", "null"]}, None, 0), ({"type": ["string", "null"]}, 1, 1), ({"enum": [1]}, True, 1), ({"enum": [1]}, 1, 0), ({"type": "integer"}, 10**400, 0), (True, 1, 0), (False, 1, 1),
+        ({"type": 5, "required": 3, "properties": 1, "enum": 0}, {"a": 1}, 0), ({"type": "what"}, 1, 0), ({"items": {"items": {"type": "null"}}}, [[None, 1], [2]], 2),
+    ],
+)
+def test_odd_schemas(schema, value, wrong):
+    assert len(tool_calls.faults(value, schema)) == wrong
+
+
+@pytest.mark.parametrize("arguments,good", [("1e999", False), ("NaN", False), ("1.0", True), ("[" * 100_000, False), ("[" * 300 + "]" * 300, False), ('"\\ud800"', True), ("9" * 5000, False)])
+def test_odd_arguments(arguments, good):
+    """Beyond a float, no JSON, integral, nested deep, half a surrogate, more digits than Python reads."""
+    found = tool_calls.parse("assistant", json.dumps({"tool_calls": [call("\ud800", arguments)]}))
+    assert (found["calls"][0]["arguments"] is not None) == good and found["calls"][0]["id"] == "\\ud800"
+    assert json.loads(found["message"].encode().decode())["tool_calls"][0]["arguments"] == (json.loads(arguments) if good else arguments)
+
+
+def test_deep_and_odd_texts_are_plain():
+    for x in ('{"a":' * 100_000, '{"tool_calls":[], "a":NaN}', "{}", "{", '{"tool_calls": 1}'):
+        assert tool_calls.parse("assistant", x)["message"] == tool_calls.canonical({"role": "assistant", "content": x})
+
+
+def test_tools_of_a_conversation(spark):
+    """Schemas from a system message; a call of a tool that the conversation does not declare is at fault."""
+    tools = [{"name": "add", "parameters": SCHEMAS["add"]}, {"type": "function", "function": {"name": "any"}}, 5, {"name": 7}]
+    calls = json.dumps({"tool_calls": [call("a", {"a": 1}), call("b", {"a": "x"}), call("c", {"z": 1}, "any"), call("d", {}, "none"), call("e", "{", "any")]})
+    rows = [(1, 0, "system", json.dumps({"tools": tools})), (1, 1, "assistant", calls), (1, 1, "assistant", calls), (2, 1, "assistant", calls), (None, 1, "assistant", calls)]
+    found = tool_calls.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["conv_id"] or 0, r["n_calls"], r["n_valid"]) for r in found) == [(0, 5, 4), (1, 0, 0), (1, 5, 2), (1, 5, 2), (2, 5, 4)]
+
+
+def test_sql_of_calls(spark, tmp_path):
+    """The query's SQL on a table with calls, results, repeated rows, nulls and broken JSON."""
+    rng = random.Random(3)
+    rows = []
+    for c in range(30):
+        ids = [f"k{rng.randint(0, 6)}" for _ in range(rng.randint(0, 5))]
+        turns = [("assistant", json.dumps({"tool_calls": [call(i, {"a": rng.randint(0, 9), "b": "é\n"}) if rng.random() < 0.6 else {"id": i, "function": {"name": "f", "arguments": rng.choice(['{"x": 1}', "{", "[]"])}}], **({"content": "hm"} if rng.random() < 0.5 else {})})) for i in ids]
+        turns += [("tool", json.dumps({"tool_call_id": f"k{rng.randint(0, 8)}", "content": rng.choice(["r", None, {"x": [1]}])})) for _ in range(rng.randint(0, 5))]
+        turns += [("user", "plain"), ("user", None), ("tool", "{}"), (None, '{"tool_calls": []}'), ("user", "{")]
+        rng.shuffle(turns)
+        rows += [(c if c else None, t if t % 7 else None, *x) for t, x in enumerate(turns)]
+    rows += rows[20:30]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "c"))
+    next((tmp_path / "c").glob("*.parquet")).rename(tmp_path / "conversations.parquet")
+    shutil.rmtree(tmp_path / "c")
+    assert_same(tool_calls.op7_chat_tool_calls(spark, str(tmp_path)), tool_calls.SQL, str(tmp_path))
+
+
 def call(i, arguments, name="add"):
     return {"id": i, "name": name, "arguments": arguments}
 
