@@ -4,9 +4,10 @@ Method. The pages of a host are merged into one style tree: a node is a path of
 its tag, class, id and role. Over a host's pages, each node has a presentation importance, the
 entropy of its sequences of children, and a content importance, one less the mean share of the
 pages over which its texts are spread as an entropy; both are to the base of the node's pages, and
-a node's importance blends its presentation with the content of its branch. Branches of low
-importance are removed from each page. A node on fewer than `LEAST_PAGES` pages is left alone.
-Pages of a host with the same undeclared blocks count once, so copies of a page are no evidence. A
+a node's importance blends its presentation with the content of its branch. It is shrunk towards what
+is thought of a node without evidence, 1 or for noise names 0, as by `PRIOR_PAGES` pages more: so a
+branch that is the same on all of five pages goes and one on two stays, without a switch. Branches of
+low importance are removed from each page. Pages of a host with the same undeclared blocks count once, so copies of a page are no evidence. A
 branch that holds all undeclared text of a page is not removed from it, and no removal leaves a page
 without text that it had.
 
@@ -24,7 +25,8 @@ paths are few.
 
 Input cases. html null or empty: no text. A null or odd url: the host is '', whose pages need have
 nothing in common and are in no style tree. One page of a host, or few: declared and named nodes alone are removed. Broken markup: end tags without a start are passed over,
-open elements end with the page. Repeated rows give repeated rows. Other columns are ignored,
+open elements end with the page. Elements nested deeper than `MOST_DEPTH` are part of the one at that
+depth. Repeated rows give repeated rows. Other columns are ignored,
 whatever their names.
 """
 
@@ -41,8 +43,10 @@ from pyspark.sql import functions as F
 
 from dirlens.llm import tables
 
-LEAST_PAGES, LEAST_IMPORTANCE, GAMMA = 8, 0.2, 0.9
+PRIOR_PAGES, LEAST_IMPORTANCE, GAMMA = 1, 0.2, 0.9
 NAME_WEIGHT, TEASER, LEAST_OUTSIDE = 0.5, 0.5, 200
+#: Elements in each other that the tree tells apart; a path has so many numbers at most.
+MOST_DEPTH = 256
 #: Paths to turn, of 8 bytes each and their hosts, up to which they are broadcast; more are joined.
 BROADCAST_PATHS = 50_000
 
@@ -171,8 +175,9 @@ class Page:
         is_main = tag in ("article", "main") or role == "main"
         noise = tag in DECLARED or role in ROLES or hidden or "display:none" in found.get("style", "").replace(" ", "").lower() or not main and tag == "header"
         named = tag not in ("html", "body") and (named or not is_main and (bool(words & NAMES) or not main and "header" in words))
-        here = (*paths, path(paths[-1], tag, f"{names.strip()} {role}"))
-        if named:
+        deep = len(paths) > MOST_DEPTH
+        here = paths if deep else (*paths, path(paths[-1], tag, f"{names.strip()} {role}"))
+        if named and not deep:
             self.named.add(here[-1])
         if is_main and not noise and not named:
             below = declared or not self.named.isdisjoint(paths[base:])
@@ -210,8 +215,8 @@ class Page:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, html) to (host, page, nodes): the hash of a page's undeclared blocks, and of each of their nodes
-    path, kind, feature, ancestors and share: kind 0 a text of the node, 1 its children, 2 those of a node with
-    a noise name; each once a page. share: thousandths of the page's text in a named node's branch, else 0."""
+    path, kind, feature, ancestors and share: kind 0 a text of the node, with its ancestors and itself, 1 its
+    children, 2 those of a node with a noise name; each once a page. share: thousandths of the page's text in a named node's branch, else 0."""
     node = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("feature", pa.int64()), ("ancestors", pa.list_(pa.int64())), ("share", pa.int64())])
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -225,9 +230,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         chars[p] = chars.get(p, 0) + len(text)
                 whole = sum(len(text) for text, _ in good)
                 seen = {(paths[-1], 0, feature(text)): paths[1:] for text, paths in good}
-                above = {p: paths[1 : i + 1] for _, paths in good for i, p in enumerate(paths) if i}
-                for p, ancestors in above.items():
-                    seen[p, 2 if p in page.named else 1, feature(" ".join(page.children.get(p, [])))] = ancestors
+                for p in {p for _, paths in good for p in paths[1:]}:
+                    seen[p, 2 if p in page.named else 1, feature(" ".join(page.children.get(p, [])))] = ()
                 numbers.append(feature("\0".join(f"{paths[-1]} {text}" for text, paths in good)))
                 nodes.append([{"path": p, "kind": kind, "feature": f, "ancestors": list(ancestors), "share": 1000 * chars.get(p, 0) // whole if kind else 0} for (p, kind, f), ancestors in seen.items()])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(numbers, pa.int64()), pa.array(nodes, pa.list_(node))], names=["host", "page", "nodes"])
@@ -243,7 +247,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     rows = found.dropDuplicates(["host", "page"]).select("host", F.inline("nodes"))
     counts = tables.cut(rows.groupBy("host", "path", "kind", "feature", "ancestors").agg(F.count("*").alias("n"), F.sum("share").alias("share")))
     shape, n = F.col("kind") > 0, F.col("n")
-    nodes = counts.groupBy("host", "path", "ancestors").agg(
+    nodes = counts.groupBy("host", "path").agg(
         (F.max("kind") == 2).alias("named"),
         (F.sum("share") / 1000 / F.sum(F.when(shape, n))).alias("share"),
         F.sum(F.when(shape, n)).alias("pages"),
@@ -255,18 +259,21 @@ def style_tree(pages: DataFrame) -> DataFrame:
     base = F.greatest(F.log("pages"), F.lit(1e-9))
     nodes = nodes.withColumn("presentation", F.when(F.col("pages") > 1, (base - F.col("shape_log") / F.col("pages")) / base).otherwise(1.0))
     nodes = nodes.withColumn("own", F.when(F.col("pages") > 1, F.col("texts") - F.col("text_log") / base).otherwise(F.col("texts")))
-    branch = nodes.select("host", F.explode("ancestors").alias("path"), "own", "texts").groupBy("host", "path").agg(F.sum("own").alias("own"), F.sum("texts").alias("texts"))
-    content = F.when(F.col("branch.texts") > 0, F.greatest(F.lit(0.0), F.col("branch.own") / F.col("branch.texts"))).otherwise(0.0)
+    below = counts.where("kind = 0").select("host", "path", "ancestors").distinct().join(nodes.select("host", "path", "own", "texts"), ["host", "path"])
+    branch = below.select("host", F.explode("ancestors").alias("path"), "own", "texts").groupBy("host", "path").agg(F.sum("own").alias("own"), F.sum("texts").alias("texts"))
+    content = F.when(F.coalesce(F.col("branch.texts"), F.lit(0)) > 0, F.greatest(F.lit(0.0), F.col("branch.own") / F.col("branch.texts"))).otherwise(0.0)
     even = F.pow(F.lit(GAMMA), F.col("styles"))
     blend = F.when(F.col("named"), (1 - NAME_WEIGHT) * content * F.col("share")).otherwise((1 - even) * F.col("presentation") + even * content)
-    joined = nodes.alias("node").join(branch.alias("branch"), ["host", "path"])
-    return joined.select("host", "path", "named", "pages", "presentation", content.alias("content"), blend.alias("importance"))
+    prior = F.when(F.col("named"), 0.0).otherwise(1.0)
+    shrunk = (F.col("pages") * blend + PRIOR_PAGES * prior) / (F.col("pages") + PRIOR_PAGES)
+    joined = nodes.alias("node").join(branch.alias("branch"), ["host", "path"], "left")
+    return joined.select("host", "path", "named", "pages", "presentation", content.alias("content"), shrunk.alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text, the main text, of every row of pages (page_id, url, html)."""
     low = F.col("importance") < LEAST_IMPORTANCE
-    paths = tables.cut(style_tree(pages).where((F.col("pages") >= LEAST_PAGES) & (low != F.col("named"))).select("host", "path"))
+    paths = tables.cut(style_tree(pages).where(low != F.col("named")).select("host", "path"))
     turned = paths.groupBy("host").agg(F.collect_set("path").alias("turned"))
     if paths.count() <= BROADCAST_PATHS:
         turned = F.broadcast(turned)

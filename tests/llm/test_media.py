@@ -7,8 +7,10 @@ import io
 import json
 import random
 import shutil
+import tracemalloc
 import wave
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +123,78 @@ def test_style_tree_removes_repeated_branches(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+def plain_importance(pages):
+    """(host, path) to pages, presentation, content and importance, from all pages (url, html) at once."""
+    hosts = defaultdict(set)
+    for url, source in pages:
+        page = html_extract.Page(source)
+        good = [(t, paths) for t, paths, _, declared, _ in page.blocks if not declared]
+        above = {p for _, paths in good for p in paths[1:]}
+        shapes = frozenset((p, " ".join(page.children.get(p, [])), p in page.named, 1000 * sum(len(t) for t, paths in good if p in paths) // max(1, sum(len(t) for t, _ in good))) for p in above)
+        hosts[url.split("/")[2]].add((tuple((paths[-1], t) for t, paths in good), frozenset(good), shapes))
+    out = {}
+    for host, distinct in hosts.items():
+        nodes = {p for _, _, shapes in distinct for p, *_ in shapes}
+        on, shape, texts, named, share = defaultdict(int), defaultdict(Counter), defaultdict(Counter), set(), defaultdict(list)
+        parents = {}
+        for _, good, shapes in distinct:
+            for p, children, is_named, part in shapes:
+                on[p] += 1
+                shape[p][children] += 1
+                if is_named:
+                    named.add(p)
+                    share[p].append(part / 1000)
+            for t, paths in good:
+                texts[paths[-1]][t] += 1
+                parents[paths[-1]] = paths[1:]
+
+        def entropy(counts, n):
+            return -sum(c / n * np.log(c / n) for c in counts) / np.log(n)
+
+        def own(p):
+            held = texts[p].values()
+            return sum(held) - sum(c * np.log(c) for c in held) / np.log(on[p]) if on[p] > 1 else sum(held)
+
+        for p in nodes:
+            presentation = entropy(shape[p].values(), on[p]) if on[p] > 1 else 1.0
+            inside = [q for q in texts if p in parents[q]]
+            total = sum(sum(texts[q].values()) for q in inside)
+            content = max(0.0, sum(map(own, inside)) / total) if total else 0.0
+            even = 0.9 ** len(shape[p])
+            blend = 0.5 * content * np.mean(share[p]) if p in named else (1 - even) * presentation + even * content
+            out[host, p] = (on[p], presentation, content, (on[p] * blend + (p not in named)) / (on[p] + 1))
+    return out
+
+
+def test_importance_is_that_of_a_plain_version(spark):
+    rng = random.Random(9)
+    words = ["alpha", "beta", "gamma", "delta", "one more", "all the same"]
+    block = lambda: f"<{(t := rng.choice(['div', 'p', 'ul', 'section']))} class={rng.choice(['k', 'l', 'share', 'm', ''])}>{rng.choice(words)}{rng.choice(['', '<div class=n>inner ' + rng.choice(words) + '</div>'])}</{t}>"
+    rows = [(f"http://h{i % 3}.example.org/{i}", f"<body>{'<article>' * (i % 2)}{''.join(block() for _ in range(rng.randint(1, 7)))}</body>") for i in range(60)]
+    rows += rows[:5]
+    found = {(r["host"], r["path"]): (r["pages"], r["presentation"], r["content"], r["importance"]) for r in html_extract.style_tree(spark.createDataFrame(rows, "url string, html string")).collect()}
+    expected = plain_importance(rows)
+    assert found.keys() == expected.keys()
+    for key, value in expected.items():
+        assert found[key] == pytest.approx(value, abs=1e-9), key
+
+
+@pytest.mark.parametrize("n", [2, 4, 5, 7])
+def test_few_pages_without_an_article(spark, n):
+    """A block of an unlisted class that all five pages of a host have goes; with fewer it may be text."""
+    rows = [(i, f"http://a.example.org/{i}", f"<body><div class=zq>Read our magazine</div><div class=xv>Own text {i} <p>and {i}</p></div></body>") for i in range(n)]
+    found = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: ("" if n >= 5 else "Read our magazine ") + f"Own text {i} and {i}" for i in range(n)}
+
+
+def test_a_deep_page_takes_little_memory():
+    tracemalloc.start()
+    page = html_extract.Page("".join(f"<div>{i}" if i % 100 == 0 else "<div>" for i in range(25_000)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert page.text() == " ".join(str(i) for i in range(0, 25_000, 100)) and peak < 150 << 20
+
+
 @pytest.mark.parametrize("copies", [7, 8, 1000])
 def test_copies_of_a_page_keep_its_text(spark, copies):
     """Equal pages are one page; so are those that differ in declared nodes. Pages without a host aren't judged together."""
