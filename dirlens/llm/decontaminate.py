@@ -1,20 +1,23 @@
 """Benchmark decontamination: a BM25 inverted index of test items, queried by every training passage.
 
-Method. The test items are indexed once: terms, BM25 weights, and items ordered by their own score
-and cut into blocks with each term's largest weight in a block (block maxima). Each text is cut
-into passages that overlap so that any run of words as long as the longest item lies within one.
-A passage is a query. As in block-max WAND, the block maxima of its terms bound the score of every
-item of a block, a block whose bound is below its lowest threshold is skipped, and only the items
-of the other blocks are scored. Skipping is safe: all items at or above the threshold, a share of
-the item's own score, are retrieved. Passages are taken in batches, each step for a whole batch.
+Method. The test items are indexed once, as postings: for each term its items and BM25 weights, in order
+of the items' own scores, and for each block of `BLOCK` items in that order the term's largest weight there
+(block maximum). Each text is cut into passages that overlap so that any run of words as long as the
+longest item lies within one. A passage is a query, searched by block-max WAND, a batch of passages at a
+time: its terms are taken by rising largest weight, and the pivot is the first at which the sum of these
+reaches the lowest threshold of any item. An item must have the pivot or a later term, so only the lists of
+these are read whole. Their block maxima and the sum before the pivot bound the scores in a block; where that
+reaches the block's lowest threshold the block maxima of the other terms are looked up, and where the bound
+still does the postings in the block are added up. Skipping is safe: all items at or
+above the threshold, a share of the item's own score, are retrieved.
 
 Retrieved items are verified on the passage's words: the shares of the five-word shingles of the
 item's question and of its answer that occur there must both reach the overlap. The answer is the
 item's last sentence, or its last third where it has one sentence; a part of fewer than five words
 is one shingle.
 
-Words are runs of characters other than ASCII marks, in lower case. The index is broadcast: it holds at most
-`ITEMS` items, and more are taken in several passes with an index each.
+Words are runs of characters other than ASCII marks, in lower case. The index is broadcast: its size is linear
+in the words of at most `ITEMS` items, and more are taken in several passes with an index each.
 
 Input cases. Text null, empty or without a word: no match. Items null or without a word match
 nothing; equal items all match. Repeated rows give repeated rows. Empty tables give no rows. Other
@@ -24,7 +27,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -37,7 +40,9 @@ from dirlens.llm import tables, text
 
 K1, B = 1.2, 0.75
 RETRIEVE, OVERLAP, SHINGLE = 0.6, 0.8, 5
-ITEMS, BLOCKS = 20_000, 16
+ITEMS, BLOCK = 20_000, 8
+#: Sums by passage and block that are held at a time.
+ENTRIES = 1 << 20
 MATCHES = "array<struct<item_id:long,score:double,question:double,answer:double>>"
 
 
@@ -91,16 +96,67 @@ class Index:
         place[order] = np.arange(len(order))
         self.ids = np.array([items[i][0] for i in order], dtype=np.int64)
         self.own = own[order]
-        self.size = -(-len(order) // BLOCKS)
-        blocks = -(-len(order) // self.size)
-        self.weights = np.zeros((len(self.terms), blocks * self.size), dtype=np.float32)
-        self.weights[term, place[item]] = weight
-        self.maxima = self.weights.reshape(len(self.terms), blocks, self.size).max(axis=2)
-        self.lowest = self.own[np.arange(blocks) * self.size]
+        place = place[item]
+        by_place = np.lexsort((place, term))
+        self.places, self.weights = place[by_place].astype(np.int32), weight[by_place].astype(np.float32)
+        blocks = -(-len(order) // BLOCK)
+        entry = term[by_place] * blocks + self.places // BLOCK
+        at = np.flatnonzero(np.diff(entry, prepend=-1))
+        # of each (term, block) that occurs: its number, its postings from..to, its maximum; and the entries of each term
+        self.blocks, self.entry, self.postings = blocks, entry[at], np.append(at, len(entry))
+        self.maxima, self.block_of = np.maximum.reduceat(self.weights, at), self.entry % blocks
+        self.lists = np.searchsorted(self.entry, np.arange(len(self.terms) + 1) * blocks)
+        self.largest = np.maximum.reduceat(self.maxima, self.lists[:-1])
+        self.lowest = self.own[np.arange(blocks) * BLOCK]
         pieces = [parts(items[i][1]) for i in order]
         self.question = [shingles(word_hashes([q])[0]) for q, _ in pieces]
         self.answer = [shingles(word_hashes([a])[0]) for _, a in pieces]
 
+    def held(self, term: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The entries of these (term, block), -1 for those that don't occur."""
+        wanted = term * self.blocks + block
+        at = np.minimum(np.searchsorted(self.entry, wanted), len(self.entry) - 1)
+        return np.where(self.entry[at] == wanted, at, -1)
+
+    def retrieved(self, term: np.ndarray, group: np.ndarray, start: np.ndarray, end: np.ndarray, retrieve: float) -> Iterator[tuple[int, int, float]]:
+        """(passage, place of an item, its share of its own score) at or above the threshold. term: those of each passage, start..end."""
+        lowest = retrieve * (1 - 1e-5) * self.lowest
+        order = np.lexsort((self.largest[term], group))
+        below = np.cumsum(self.largest[term[order]], dtype=np.float64)
+        below -= np.repeat(np.append(0.0, below)[start], end - start)
+        weak = np.maximum.reduceat(np.where(below < lowest[0], below, 0.0), start)
+        strong = order[below >= lowest[0]]  # from the pivot on
+        size = self.lists[term[strong] + 1] - self.lists[term[strong]]
+        most = max(1, ENTRIES // self.blocks)
+        for first in range(0, len(start), most):  # so many passages that their sums by block stay bounded
+            s, e = np.searchsorted(group[strong], [first, first + most])
+            part, n = strong[s:e], size[s:e]
+            entry = np.arange(n.sum()) + np.repeat(self.lists[term[part]] - np.cumsum(n) + n, n)
+            count = min(most, len(start) - first)
+            sums = np.bincount(np.repeat((group[part] - first) * self.blocks, n) + self.block_of[entry], self.maxima[entry], minlength=count * self.blocks).reshape(count, self.blocks)
+            g, block = np.nonzero((sums > 0) & (sums + weak[first : first + count, None] >= lowest))
+            if not len(g):
+                continue
+            g += first
+            many = end[g] - start[g]
+            begin = np.cumsum(many) - many
+            own = term[np.arange(many.sum()) + np.repeat(start[g] - begin, many)]
+            found = self.held(own, np.repeat(block, many))
+            bound = np.add.reduceat(np.where(found >= 0, self.maxima[found], 0), begin, dtype=np.float64)
+            good = bound >= lowest[block]
+            found = found[np.repeat(good, many)]
+            at = np.repeat(np.arange(good.sum()), many[good])[found >= 0]
+            found = found[found >= 0]
+            n = self.postings[found + 1] - self.postings[found]
+            post = np.arange(n.sum()) + np.repeat(self.postings[found] - np.cumsum(n) + n, n)
+            g, block = g[good], block[good]
+            score = np.bincount(np.repeat(at, n) * BLOCK + self.places[post] % BLOCK, self.weights[post], minlength=len(g) * BLOCK)
+            place = (block[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            inside = place < len(self.own)
+            score[inside] /= self.own[place[inside]]
+            hit = np.flatnonzero(inside & (score >= retrieve))
+            yield from zip(g[hit // BLOCK].tolist(), place[hit].tolist(), score[hit].tolist(), strict=True)
+
     def search(self, words: np.ndarray, bounds: np.ndarray, retrieve: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
         """(text, item id, score, question overlap, answer overlap) of the best passage for each."""
         if not len(self.ids) or not len(words):
@@ -120,23 +176,19 @@ class Index:
         if not len(key):
             return []
         passage, term = key // len(self.terms), key % len(self.terms)
-        start = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-        end = np.append(start[1:], len(passage))
-        bound = np.add.reduceat(self.maxima[term], start, axis=0)
+        at_passage = np.flatnonzero(np.diff(passage, prepend=-1))
+        end = np.append(at_passage[1:], len(passage))
+        group = np.repeat(np.arange(len(at_passage)), end - at_passage)
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for group, block in zip(*np.nonzero(bound >= retrieve * self.lowest * (1 - 1e-5)), strict=True):
-            own = self.own[block * self.size : (block + 1) * self.size]
-            score = self.weights[term[start[group] : end[group]], block * self.size : block * self.size + len(own)].sum(axis=0, dtype=np.float64) / own
-            for k in np.flatnonzero(score >= retrieve).tolist():
-                at = passage[start[group]]
-                d = int(np.searchsorted(base, at, "right")) - 1
-                first = int(bounds[d] + (at - base[d]) * step)
-                own_words = words[first : min(first + 2 * step, int(bounds[d + 1]))]
-                i = int(block * self.size + k)
-                shares = [share(x, own_words) for x in (self.question[i], self.answer[i])]
-                if min(shares) >= overlap:
-                    found = (round(min(1.0, float(score[k])), 6), shares[0], shares[1])
-                    best[d, int(self.ids[i])] = max(best.get((d, int(self.ids[i])), found), found)
+        for g, i, score in self.retrieved(term, group, at_passage, end, retrieve):
+            at = passage[at_passage[g]]
+            d = int(np.searchsorted(base, at, "right")) - 1
+            first = int(bounds[d] + (at - base[d]) * step)
+            own_words = words[first : min(first + 2 * step, int(bounds[d + 1]))]
+            shares = [share(x, own_words) for x in (self.question[i], self.answer[i])]
+            if min(shares) >= overlap:
+                found = (round(min(1.0, score), 6), shares[0], shares[1])
+                best[d, int(self.ids[i])] = max(best.get((d, int(self.ids[i])), found), found)
         return [(d, i, *x) for (d, i), x in sorted(best.items())]
 
 

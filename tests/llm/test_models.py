@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import random
 import re
 from collections import Counter
@@ -241,3 +242,22 @@ def test_mix_by_brute_force(docs, budget):
 
 def test_mix_of_nothing(no_docs):
     assert mixing.mix(no_docs).collect() == []
+
+
+def test_a_large_index_is_linear_in_its_words():
+    """20,000 items of 60 words: all postings once, the items found that full scoring finds."""
+    rng = np.random.default_rng(6)
+    names = np.array([f"w{i}" for i in range(80_000)])
+    words = (80_000 * rng.random((20_000, 60)) ** 3).astype(int)
+    index = decontaminate.Index([(i, " ".join(names[w])) for i, w in enumerate(words)])
+    assert len(pickle.dumps(index)) < 200 << 20 and len(index.places) == sum(len(set(w)) for w in words.tolist())
+    texts = [" ".join([*names[words[i][: 60 - cut]], *names[rng.integers(0, 80_000, cut)]]) for i, cut in ((5, 0), (77, 3), (9000, 20), (19_999, 40))]
+    hashes, bounds = decontaminate.word_hashes(texts)
+    found = index.search(hashes, bounds, 0.3, 0.0)
+    weight = np.zeros((len(index.ids), len(texts)))
+    term = np.repeat(np.arange(len(index.terms)), np.diff(index.postings[index.lists]))
+    for k in range(len(texts)):
+        has = np.isin(index.terms[term], hashes[bounds[k] : bounds[k + 1]])
+        weight[:, k] = np.bincount(index.places[has], index.weights[has], minlength=len(index.ids)) / index.own
+    expected = {(k, int(index.ids[p])) for p, k in zip(*np.nonzero(weight >= 0.3), strict=True)}
+    assert {(d, i) for d, i, *_ in found} == expected and len(expected) >= 4
