@@ -3,11 +3,11 @@
 Method. A token is a run of letters, of digits or of marks; it is hashed into one of BUCKETS. Each
 token has a sparse random index vector (SPARSE entries of +1 or -1 out of DIM, by its hash), and a
 bucket's context vector is the sum of the index vectors of the tokens up to REACH places from its
-tokens, over all documents. Each task sums its own; the sums meet by block of buckets. Context
-vectors are scaled to unit length, weighted by a / (a + frequency), and pooled as the mean over a
-document's tokens. With them go the logarithms of the squared length of its mean index vector,
-which is large if it repeats few tokens, and of the number of tokens. A two-layer numpy network
-maps this to a logit, and a temperature fitted on rows kept back from its training calibrates it.
+tokens, over all documents. Each task sums its own; the sums meet by block of buckets, first in SALTS parts.
+Context vectors have the corpus' mean context taken away and are scaled to unit length. A document is
+the mean and the standard deviation of its tokens' vectors; no other feature is used. A two-layer numpy
+network maps this to a logit, and a temperature fitted on rows kept back from its training calibrates
+it.
 
 The network is fitted on `most_labels` labelled rows at most, those least by a hash of their id; the
 vectors are counted over all documents. Vectors and network are broadcast: their size is fixed.
@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from dirlens.llm import tables, text
 
 BITS, DIM, SPARSE, REACH, HIDDEN = 13, 64, 2, 2, 32
-BUCKETS, BLOCK = 1 << BITS, 64
+BUCKETS, BLOCK, SALTS = 1 << BITS, 64, 16
+#: Tokens pooled at a time.
+PIECE = 1 << 16
 MOST_LABELS = 20_000
 #: Space 0, letters 1, digits 2, marks 3.
 KIND = np.array([0 if text.IS_SPACE[b] else 2 if chr(b).isdigit() and b < 128 else 1 if b >= 128 or chr(b).isalpha() else 3 for b in range(256)], dtype=np.uint8)
@@ -76,8 +78,11 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         body, offsets = text.buffers(batch.column(0))
         for lo, hi in text.slices(offsets):
             total += contexts(*tokens(body, offsets, lo, hi))
-    at = [b for b in range(0, BUCKETS, BLOCK) if total[b : b + BLOCK].any()]
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([total[b : b + BLOCK].tobytes() for b in at], pa.binary())], names=["block", "sums"])
+    yield _blocks({b: total[b : b + BLOCK].ravel() for b in range(0, BUCKETS, BLOCK) if total[b : b + BLOCK].any()})
+
+
+def _blocks(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "sums"])
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,44 +90,43 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             totals[b] = totals.get(b, 0) + np.frombuffer(sums, dtype=np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array([x.tobytes() for x in totals.values()], pa.binary())], names=["block", "sums"])
+    yield _blocks(totals)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """(BUCKETS, DIM) weighted unit context vectors over all of docs (text)."""
+    """(BUCKETS, DIM) centred unit context vectors over all of docs (text); zero for buckets without a token."""
     kind = "block long, sums binary"
-    rows = docs.select("text").mapInArrow(_sums, kind).repartition("block").mapInArrow(_add, kind).collect()
+    parts = docs.select("text").mapInArrow(_sums, kind).withColumn("salt", F.spark_partition_id() % SALTS)
+    parts = parts.repartition("block", "salt").select("block", "sums").mapInArrow(_add, kind)
     total = np.zeros((BUCKETS, DIM + 1), dtype=np.int64)
-    for b, sums in rows:
+    for b, sums in parts.repartition("block").mapInArrow(_add, kind).collect():  # BUCKETS rows of DIM + 1 numbers
         total[b : b + BLOCK] = np.frombuffer(sums, dtype=np.int64).reshape(-1, DIM + 1)
-    vectors, n = total[:, :DIM].astype(np.float64), total[:, DIM]
-    length = np.linalg.norm(vectors, axis=1, keepdims=True)
-    share = n / max(1, n.sum())
-    return (vectors / np.maximum(length, 1e-9) * (1e-3 / (1e-3 + share))[:, None]).astype(np.float32)
-
-
-def pooled(vectors: np.ndarray, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Mean of the tokens' vectors for each text."""
-    out = np.zeros((len(bounds) - 1, vectors.shape[1]), dtype=np.float64)
-    size = np.diff(bounds)
-    some = np.flatnonzero(size)
-    if len(some):
-        out[some] = np.add.reduceat(vectors[bucket(hashes)], bounds[some], axis=0) / size[some, None]
-    return out
-
-
-#: A unit index vector of its own for each bucket.
-INDEX = np.random.default_rng(5).choice(np.array([-0.25, 0.25], dtype=np.float32), (BUCKETS, 16))
+    return unit_vectors(total)
 
 
-def spread(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """(texts, 2): log squared length of the mean index vector, and log number of tokens."""
-    mean = pooled(INDEX, hashes, bounds)
-    return np.log(np.column_stack([(mean * mean).sum(axis=1) + 1e-3, np.diff(bounds) + 1.0]))
+def unit_vectors(total: np.ndarray) -> np.ndarray:
+    vectors, n = total[:, :DIM].astype(np.float64), total[:, DIM:]
+    vectors -= n * (vectors.sum(axis=0) / max(1, n.sum()))
+    return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def features(vectors: np.ndarray, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    return np.column_stack([pooled(vectors, hashes, bounds), spread(hashes, bounds)])
+    """(texts, 2 * DIM): mean and standard deviation of the tokens' vectors, zero for a text without tokens.
+
+    Texts are summed PIECE tokens at a time, a longer one in pieces of its own, so a score depends on its text only.
+    """
+    out = np.zeros((len(bounds) - 1, 2 * DIM), dtype=np.float64)
+    for lo, hi in text.slices(bounds, PIECE):
+        for s in range(int(bounds[lo]), int(bounds[hi]), PIECE if hi - lo == 1 else max(1, int(bounds[hi] - bounds[lo]))):
+            e = min(int(bounds[hi]), s + PIECE) if hi - lo == 1 else int(bounds[hi])
+            some = lo + np.flatnonzero(np.diff(bounds[lo : hi + 1]))
+            own = vectors[bucket(hashes[s:e])]
+            at = np.maximum(bounds[some] - s, 0)
+            out[some, :DIM] += np.add.reduceat(own, at, axis=0)
+            out[some, DIM:] += np.add.reduceat(own * own, at, axis=0)
+    out /= np.maximum(np.diff(bounds), 1)[:, None]
+    out[:, DIM:] = np.sqrt(np.maximum(out[:, DIM:] - out[:, :DIM] ** 2, 0))
+    return out
 
 
 class Network:
@@ -161,17 +165,10 @@ class Network:
         loss = [np.logaddexp(0, np.where(y[check] == 1, -1, 1) * logit / t).mean() for t in grid]
         self.temperature = float(grid[int(np.argmin(loss))])
 
-    def folded(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The word vectors seen through the first layer, the rest of it, and its bias: the pooling is linear."""
-        if self.constant is not None:
-            return np.zeros((len(vectors), 1), np.float32), np.zeros((2, 1)), np.zeros(1)
-        w = self.w1 / self.scale[:, None]
-        return (vectors @ w[:DIM]).astype(np.float32), w[DIM:], self.b1 - self.mean @ w
-
-    def score(self, first: np.ndarray) -> np.ndarray:
+    def score(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
-            return np.full(len(first), self.constant)
-        logit = np.maximum(0, first) @ self.w2 + self.b2
+            return np.full(len(x), self.constant)
+        logit = np.maximum(0, (x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
         return 1 / (1 + np.exp(-np.clip(logit / self.temperature, -500, 500)))
 
 
@@ -192,20 +189,19 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, most_labels: in
     # at most most_labels rows of two numbers
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select(F.col("doc_id").cast("long"), "text", F.col("quality").cast("long"))
     found = sorted((r["doc_id"], r["quality"], bytes(r["x"])) for r in rows.mapInArrow(described, "doc_id long, quality long, x binary").collect())
-    x = np.stack([np.frombuffer(r[2], np.float32) for r in found]).astype(np.float64) if found else np.zeros((0, DIM + 2))
+    x = np.stack([np.frombuffer(r[2], np.float32) for r in found]).astype(np.float64) if found else np.zeros((0, 2 * DIM))
     return Network(x, np.array([float(r[1] > 0) for r in found]))
 
 
 def scored(spark: SparkSession, network: Network, vectors: np.ndarray) -> Callable[[Column | str], Column]:
     """A function of a text column: the probability that its label is 1."""
-    shared = spark.sparkContext.broadcast((network, *network.folded(vectors)))
+    shared = spark.sparkContext.broadcast((network, vectors))
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        net, first, rest, bias = shared.value
+        net, own = shared.value
         body, offsets = text.buffers(texts)
-        found = (tokens(body, offsets, lo, hi) for lo, hi in text.slices(offsets))
-        out = [net.score(pooled(first, *x) + spread(*x) @ rest + bias) for x in found]
+        out = [net.score(features(own, *tokens(body, offsets, lo, hi))) for lo, hi in text.slices(offsets)]
         return pa.array(np.concatenate([np.zeros(0), *out]))
 
     return score
