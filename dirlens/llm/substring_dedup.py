@@ -9,13 +9,15 @@ in blocks that are the shuffle partitions of its windows' hashes:
    same words each is one factor, and one of them stands for all in the index.
 2. index: windows under a repeated anchor are hashed and counted, with the first and the last
    place at which each occurs.
-3. parse: the windows of a text that occur elsewhere, in order, each with its reference place,
-   are joined greedily into factors: a factor goes on while the next window's reference is the
-   next word of the same reference. Windows across a boundary of two factors have entries of
-   their own, so the union of the factors covers every repeated window and nothing else.
+3. parse: at the first window of a text that occurs elsewhere, the factor is the longest run of words
+   that goes on at a place the index has for it, the window's first or its last; the next factor
+   begins at the next window that is not of the run. So a factor is the longest match among the
+   indexed places, not among all places: an exhaustive list of places of hot windows would be
+   unbounded. Windows across a boundary of two factors have entries of their own, so the union of the
+   factors covers every repeated window and nothing else.
 
-A text is shuffled once, by row; hot windows are counted with map-side aggregation and joined
-with Spark's splitting of skewed partitions. Windows are told apart by 64-bit hashes.
+A text is shuffled once, by row; hot windows are counted with map-side aggregation, and anchors that
+hold more than a HOT-th of all are dealt over SALTS tasks. Windows are told apart by 64-bit hashes.
 
 Input cases. Text null, empty or shorter than a window: nothing is removed. A window that occurs
 twice in one text, overlapping itself or not, is repeated. Repeated rows are two documents, so
@@ -36,6 +38,8 @@ from dirlens.llm import tables, text
 
 WINDOW, ANCHOR = 35, 12
 PLACE_BITS = 24
+#: Anchors with more than one part in HOT of all runs are at most HOT, which are broadcast; each is dealt over SALTS tasks.
+HOT, SALTS = 1000, 64
 
 
 def _least(grams: np.ndarray, width: int) -> np.ndarray:
@@ -115,14 +119,25 @@ def _windows(window: int, with_rid: bool = False) -> Callable[[Iterator[pa.Recor
     return list_windows
 
 
-def factors(number: np.ndarray, reference: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """(first word, words, reference place) of the greedy factors of windows in order."""
-    if not len(number):
-        return []
-    goes_on = (np.diff(number) == 1) & (np.diff(reference) == np.uint64(1))
-    at = np.concatenate([[0], np.flatnonzero(~goes_on) + 1])
-    last = np.append(at[1:], len(number)) - 1
-    return list(zip(number[at].tolist(), (number[last] - number[at] + window).tolist(), reference[at].view(np.int64).tolist(), strict=True))
+def factors(number: list[int], first: list[int], last: list[int], own: list[int], window: int) -> list[tuple[int, int, int]]:
+    """(first word, words, reference place) of the greedy factors of windows in order, each the longest.
+
+    A window stands at `own` and elsewhere at `first` or `last`, or both.
+    """
+    ahead: dict[int, int] = {}  # of a reference place of the window after this one: windows that go on from there
+    best: list[tuple[int, int]] = []
+    for k in range(len(number) - 1, -1, -1):
+        if k + 1 < len(number) and number[k + 1] != number[k] + 1:
+            ahead = {}
+        ahead = {place: 1 + ahead.get(place + 1, 0) for place in (first[k], last[k]) if place != own[k]}
+        best.append(max((n, place) for place, n in ahead.items()))
+    best.reverse()
+    out, k = [], 0
+    while k < len(number):
+        n, place = best[k]
+        out.append((number[k], n - 1 + window, place))
+        k += n
+    return out
 
 
 def _remove(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -133,9 +148,10 @@ def _remove(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             return [(0, len(words), copy)]
         if not marks.is_valid:
             return []
-        at = marks.values.field(0).to_numpy().view(np.uint64) - np.uint64(rid % (1 << 64))
-        order = np.argsort(at)
-        return factors(at[order].view(np.int64), marks.values.field(1).to_numpy().view(np.uint64)[order], window)
+        own, first, last = (marks.values.field(c).to_numpy() for c in range(3))
+        number = own - np.int64(rid)
+        order = np.argsort(number)
+        return factors(number[order].tolist(), first[order].tolist(), last[order].tolist(), own[order].tolist(), window)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -159,6 +175,16 @@ def _remove(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return remove
 
 
+def _hits(runs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """runs (anchor, rid, run) with first and last of repeated (anchor, n, first, last), hot anchors by parts of their rows."""
+    most = repeated.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(repeated.where(F.col("n") > most / HOT).select(F.col("anchor").alias("hot")))  # HOT rows at most
+    parts = F.when(F.col("hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    sides = repeated.join(hot, F.col("anchor") == F.col("hot"), "left").select("anchor", "first", "last", F.explode(parts).alias("part"))
+    part = F.when(F.col("hot").isNotNull(), F.pmod(F.hash("rid"), F.lit(SALTS))).otherwise(0)
+    return runs.join(hot, F.col("anchor") == F.col("hot"), "left").select("anchor", "rid", "run", part.alias("part")).join(sides, ["anchor", "part"])
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text and factors of every row of docs (doc_id, text).
 
@@ -168,8 +194,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         raise ValueError("0 < anchor < window <= anchor + 62")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.xxhash64("doc_id", "text"))
     runs = docs.select("rid", "text").mapInArrow(_anchors(window, anchor), "anchor long, rid long, run long")
-    repeated = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("rid").alias("first"), F.max("rid").alias("last")).where("n > 1").drop("n")
-    hits = runs.join(repeated, "anchor")
+    repeated = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("rid").alias("first"), F.max("rid").alias("last")).where("n > 1")
+    hits = _hits(runs, tables.cut(repeated))
     other = F.when(F.col("run") == 0, F.when(F.col("rid") == F.col("first"), F.col("last")).otherwise(F.col("first")))
     stands = F.max(F.when(F.col("run") == 0, (F.col("rid") == F.col("first")).cast("int")))
     likely = tables.cut(hits.groupBy("rid").agg(F.collect_set("run").alias("runs"), F.max(other).alias("copy"), stands.alias("stands")))
@@ -178,8 +204,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     counted = texts.mapInArrow(_windows(window), "hash long, at long, copy boolean")
     index = counted.groupBy("hash").agg(F.count("*").alias("n"), F.max("copy").alias("copy"), F.min("at").alias("first"), F.max("at").alias("last")).where("n > 1 or copy").select("hash", "first", "last")
     own = texts.where("copy is null").mapInArrow(_windows(window, with_rid=True), "hash long, at long, rid long")
-    reference = F.when(F.col("at") == F.col("first"), F.col("last")).otherwise(F.col("first"))
-    marks = own.join(index, "hash").select("rid", F.struct("at", reference.alias("reference")).alias("mark")).groupBy("rid").agg(F.collect_set("mark").alias("marks"))
+    marks = own.join(index, "hash").select("rid", F.struct("at", "first", "last").alias("mark")).groupBy("rid").agg(F.collect_set("mark").alias("marks"))
     found = marks.select("rid", F.lit(None).cast("long").alias("copy"), "marks").unionByName(likely.where("copy is not null").select("rid", "copy"), allowMissingColumns=True)
     kind = "doc_id long, n_words long, n_removed long, kept_text string, factors array<struct<start:int,length:int,reference:long>>"
     return docs.join(found, "rid", "left").select("doc_id", "rid", "text", "copy", "marks").mapInArrow(_remove(window), kind)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -140,6 +141,41 @@ def test_remove_repeats(docs, window, anchor):
         assert all(f["length"] >= window for f in r["factors"])
 
 
+def test_factors_are_longest_matches(spark):
+    """Greedy factors: each goes on as far as the words at its reference do, and no other text has a longer match.
+
+    Every text stands in two at most, so that the first and last place of a window are all its places.
+    """
+    rng = random.Random(5)
+    fresh = iter(range(10**6))
+    prose = lambda n: [f"w{next(fresh)}" for _ in range(n)]
+    a, b, c = prose(60), prose(80), prose(45)
+    texts = [prose(5) + a + prose(3) + b + prose(9), prose(4) + a + c + prose(2), b[10:70] + prose(7) + c, prose(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = {r["doc_id"]: r["factors"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    rid = {r["doc_id"]: r["rid"] for r in spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(doc_id, text) as rid").collect()}
+
+    def longest(i, at):
+        runs = ((sum(1 for _ in itertools.takewhile(lambda p: p[0] == p[1], zip(texts[i][at:], other[k:], strict=False))), j, k) for j, other in enumerate(texts) for k in range(len(other)) if (j, k) != (i, at))
+        return max(runs)
+
+    for i, t in enumerate(texts):
+        expected, at = [], 0
+        while at + 35 <= len(t):
+            n, j, k = longest(i, at)
+            if n >= 35:
+                expected.append((at, n, (rid[j] + k + 2**63) % 2**64 - 2**63))
+            at += n - 34 if n >= 35 else 1
+        assert [(f["start"], f["length"], f["reference"]) for f in found[i]] == expected
+    assert [len(found[i]) for i in range(4)] == [2, 2, 2, 0]
+
+
+def test_hot_anchors_are_dealt(docs, monkeypatch):
+    whole = sorted(map(repr, substring_dedup.remove_repeats(docs, 6, 2).collect()))
+    monkeypatch.setattr(substring_dedup, "HOT", 10_000)
+    assert sorted(map(repr, substring_dedup.remove_repeats(docs, 6, 2).collect())) == whole
+
+
 def test_remove_repeats_of_nothing(no_docs):
     assert substring_dedup.remove_repeats(no_docs).collect() == []
 
