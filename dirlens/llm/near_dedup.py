@@ -249,13 +249,12 @@ def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable
     the second, large keys are dealt again, now by component: a large component fills blocks of its
     own, small ones share theirs, and pairs of blocks are looked at unless both are of one component.
     So where the first round joins nearly all, members meet the few that are left once. What is sent
-    is one row for a member and block it meets, and pairs of component names, not of members. The
-    payload is joined in the same way at every size: members outgrow a broadcast as a corpus grows.
+    is one row for a member and block it meets, and pairs of component names, not of members.
     """
 
     def look(rows: DataFrame) -> DataFrame:
-        dealt = rows.hint("merge").join(payload, "v").select("key", "i", "j", "component", "payload").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return tables.cut(dealt.mapInArrow(_in_groups(pairs_of), "a long, b long").distinct())
+        dealt = rows.join(payload, "v").select("key", "i", "j", "component", "payload").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return tables.cut(dealt.mapInArrow(_in_groups(pairs_of), "a long, b long"))
 
     count = F.count("*").alias("n")
     some = members.groupBy("key").agg(count, F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", "n")
@@ -287,16 +286,37 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     Rows are linked if den * |A & B| >= num * |A | B| for their sets of n-word shingles, A-Z in
     lower case. component_id is the smallest doc_id reachable; kept is doc_id = component_id.
     """
+    out = _grouped(docs, n, num, den, coordinates)
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, coordinates: int = COORDINATES) -> DataFrame:
+    """docs (doc_id, text, ...) with one row of each component: that of the least id, nulls last, and digest.
+
+    Rows without a word are in no component and stay.
+    """
+    grouped = tables.cut(_grouped(docs, n, num, den, coordinates).select("doc_id", "rid", "node", "group"))
+    least = grouped.where("node is not null").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid")).alias("least"))
+    chosen = least.select(F.col("least.rid").alias("rid"), F.lit(True).alias("once")).unionByName(grouped.where("node is null").select("rid", F.lit(False).alias("once")).distinct())
+    # the row goes along as one column, so that its names don't meet ours
+    rows = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("rid"), F.struct("*").alias("row")).join(chosen, "rid")
+    equal = F.when(F.col("once"), 0).otherwise(F.monotonically_increasing_id())
+    return rows.withColumn("equal", equal).dropDuplicates(["rid", "equal"]).select("row.*")
+
+
+def _grouped(docs: DataFrame, n: int, num: int, den: int, coordinates: int) -> DataFrame:
+    """doc_id, rid, n_shingles, node (null without a word), group and component_id of every row of docs."""
     least, prefix = matches_needed(coordinates, num, den), min(coordinates, prefix_needed(num, den))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.xxhash64("doc_id", "text"))
     signed = tables.cut(docs.select("doc_id", "rid", "text").mapInArrow(_signer(n, coordinates, prefix), "doc_id long, rid long, n_shingles long, node long, posts array<long>, signature binary"))
     some = signed.where("node is not null")
     # one row stands for all rows with the same set
-    first = some.groupBy("node").agg(F.min("rid").alias("v"))
-    chosen = some.join(first.withColumnRenamed("v", "rid"), ["node", "rid"], "left_semi")
-    posts = chosen.select(F.col("rid").alias("v"), F.explode("posts").alias("key"))
+    first = tables.cut(some.groupBy("node").agg(F.min("rid").alias("v"), F.min("doc_id").alias("d")))
+    chosen = tables.cut(some.join(first.select("node", F.col("v").alias("rid")), ["node", "rid"], "left_semi").select(F.col("rid").alias("v"), "posts", "signature").dropDuplicates(["v"]))
+    posts = chosen.select("v", F.explode("posts").alias("key"))
     shared = posts.groupBy("key").agg(F.min("v").alias("pivot"), F.max("v").alias("top")).where("pivot <> top").select("key", "pivot")
-    listed = tables.cut(posts.join(shared, "key").select("key", "v", "pivot").distinct())
+    listed = tables.cut(posts.join(shared, "key").select("key", "v", "pivot"))
 
     hits = listed.where("v <> pivot").groupBy("v", "pivot").count().where(F.col("count") * 2 >= prefix)
     best = hits.groupBy("v").agg(F.max(F.struct("count", "pivot")).alias("best"))
@@ -306,19 +326,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     def component_of(rows: DataFrame) -> DataFrame:
         return rows.join(label.withColumnRenamed("id", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
 
-    near = joined(component_of(listed.select("key", "v")), chosen.select(F.col("rid").alias("v"), F.col("signature").alias("payload")), BLOCK, _by_signature(coordinates, least))
+    near = joined(component_of(listed.select("key", "v")), chosen.select("v", F.col("signature").alias("payload")), BLOCK, _by_signature(coordinates, least))
     cluster = near.select(F.col("id").alias("component"), F.col("component").alias("key"))
-    members = component_of(chosen.select(F.col("rid").alias("v"))).join(cluster, "component")
-    more = joined(members, docs.select(F.col("rid").alias("v"), F.col("text").alias("payload")), TEXTS, _by_text(n, num, den))
+    members = component_of(chosen.select("v")).join(cluster, "component")
+    # texts are joined in the same way at every size: members outgrow a broadcast as a corpus grows
+    more = joined(members, docs.select(F.col("rid").alias("v"), F.col("text").alias("payload")).hint("merge"), TEXTS, _by_text(n, num, den))
     top = more.select(F.col("id").alias("component"), F.col("component").alias("top"))
-    label = tables.cut(component_of(chosen.select(F.col("rid").alias("v"))).join(top, "component", "left").select(F.col("v").alias("id"), F.coalesce("top", "component").alias("component")))
+    label = tables.cut(component_of(chosen.select("v")).join(top, "component", "left").select(F.col("v").alias("id"), F.coalesce("top", "component").alias("component")))
 
-    group = first.join(label.withColumnRenamed("id", "v"), "v", "left").select("node", F.coalesce("component", "v").alias("group"))
-    smallest = some.groupBy("node").agg(F.min("doc_id").alias("d")).join(group, "node").groupBy("group").agg(F.min("d").alias("component_id"))
-    names = group.join(smallest, "group").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(names, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    group = first.join(label.withColumnRenamed("id", "v"), "v", "left").select("node", "d", F.coalesce("component", "v").alias("group"))
+    names = group.join(group.groupBy("group").agg(F.min("d").alias("component_id")), "group").select("node", "group", "component_id")
+    return signed.select("doc_id", "rid", "n_shingles", "node").join(names, "node", "left")
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

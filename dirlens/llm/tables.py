@@ -18,16 +18,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-#: Edges that one task contracts by itself, 16 bytes each; more go through distributed rounds first.
+#: Edges that one task joins by itself, 16 bytes each; more go through distributed rounds.
 FEW_EDGES = 250_000
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All edges (a, b) of a graph of FEW_EDGES at most to (name, up): up is the least name reachable."""
+def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All edges (a, b) of a graph of FEW_EDGES at most to (id, component)."""
     parts = [np.stack([x.column(0).to_numpy(), x.column(1).to_numpy()]) for x in batches]
-    names, ends = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *parts], axis=1), return_inverse=True)
+    ids, ends = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *parts], axis=1), return_inverse=True)
     a, b = ends.reshape(2, -1)
-    label = np.arange(len(names))
+    label = np.arange(len(ids))
     while True:
         low = label.copy()
         np.minimum.at(low, label[a], label[b])
@@ -38,7 +38,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (low == label).all():
             break
         label = low
-    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[label])], names=["name", "up"])
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[label])], names=["id", "component"])
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -47,20 +47,20 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Ids get pseudo-random names (a bijection). Each round points each name to the least one among
     itself and its neighbours, follows the pointer twice more, and contracts the edges to distinct
     pairs of names. So edges shrink by a factor each round, and a long chain or a large star takes few.
-    Once FEW_EDGES are left, one task does the rest. Only ids that have an edge are returned. Edges with a null end and
-    loops are ignored.
+    Rounds end when no edge is left. Where all edges are FEW_EDGES at most, one task joins them. Only ids
+    that have an edge are returned. Edges with a null end and loops are ignored. Edges are read twice or
+    more, so they should be a table or cut.
     """
 
     def pairs(rows: DataFrame, a: Column, b: Column) -> DataFrame:
         return cut(rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct())
 
-    some = edges.where("a <> b")
+    some = edges.where("a <> b").select("a", "b")
+    if some.count() <= FEW_EDGES:
+        return cut(some.coalesce(1).mapInArrow(_smallest, "id long, component long"))
     left = pairs(some, F.xxhash64("a"), F.xxhash64("b"))
     steps: list[DataFrame] = []
-    while (n := left.count()) > 0:
-        if n <= FEW_EDGES:
-            steps.append(cut(left.coalesce(1).mapInArrow(_contract, "name long, up long")))
-            break
+    while not left.isEmpty():
         if len(steps) == most_rounds:
             raise RuntimeError("edges are still left; raise most_rounds")
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -104,7 +104,22 @@ def test_edges_of_near_copies_grow_with_their_number(spark, monkeypatch):
     assert counts[1] <= 4.5 * counts[0]
 
 
+def test_one_of_each(docs):
+    """The least id of each component, one of repeated rows, and all rows without a word, with all their columns."""
+    rows = docs.collect()
+    sets = sets_of(rows, 5)
+    group = unite([(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])], range(len(rows)))
+    found = near_dedup.one_of_each(docs)
+    assert found.columns == docs.columns
+    expected = [repr(r) for r, s in zip(rows, sets, strict=True) if not s]
+    for g in set(group.values()):
+        ids = [rows[i]["doc_id"] for i in group if group[i] == g and sets[i]]
+        expected += ids and [min(repr(r) for i, r in enumerate(rows) if group[i] == g and r["doc_id"] == min(ids, key=lambda d: (d is None, d or 0)))]
+    assert sorted(map(repr, found.collect())) == sorted(expected)
+
+
 def test_near_duplicates_of_nothing(no_docs):
+    assert near_dedup.one_of_each(no_docs).collect() == []
     assert near_dedup.near_duplicates(no_docs).collect() == []
 
 
