@@ -16,23 +16,32 @@ from dirlens.llm import decontaminate, language_id, line_dedup, mixing, near_ded
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, whose language is not clear or is none of the learned ones, go."""
+    """Documents without a letter, whose language is not clear or is none of the learned ones, go.
+
+    Null and empty texts go, and so do all documents if none has a language to learn from. Equal rows fare alike.
+    """
     return language_id.keep_identified(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines repeated in many distinct texts go, but for their first; n_chars is that of the new text."""
+    """Lines repeated in many distinct texts go, but for their first; n_chars is that of the new text.
+
+    Near copies are left whole for the next stage. A document left without a word goes; null and empty ones stay.
+    Rows are told apart by id and text, so rows that share an id, or have none, lose no lines of each other.
+    """
     return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by five-word shingles and a similarity of 0.8, stays."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """One document of each group of near copies, by five-word shingles and a similarity of 0.8, stays.
+
+    It is that of the least id, nulls last; of repeated rows one stays. Documents without a word stay.
+    """
+    return near_dedup.one_of_each(docs)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item go."""
+    """Documents that hold a test item go; null and empty ones hold none."""
     return decontaminate.drop_leaks(docs, tables.read(spark, sf_dir, "benchmark"))
 
 
