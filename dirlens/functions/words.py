@@ -232,3 +232,19 @@ DATA_KEYS = frozenset(
     "name email title firstname fullname first_name displayname display_name staffname employeename position jobtitle job_title role emailaddress last_name lastname".split()
 )
 NOISE = frozenset("script style noscript select option datalist nav footer".split())
+
+# The selectors and labels under which pages hold what is read from them.
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+LINK_LABELS = ("email", "e-mail", "mail", "contact", "click here", "send email", "send", "more", "read more", "view profile", "profile")
+PAGER_LINKS = '.pagination a, .pager a, [class*="pagination"] a, [class*="paging"] a, nav[aria-label*="pag" i] a'
+PROFILE_FIELDS = {
+    "department": ((".fsDepartments", ".fsConstituentDepartment", "[class*='department' i]"), ("Department", "Dept")),
+    "location": ((".fsLocations", ".fsBuildings", ".fsConstituentLocation", "[class*='location' i]", "[class*='building' i]", "[class*='campus' i]"), ("Location", "Building", "Campus", "School")),
+    "title": ((".fsTitles", ".fsRoles", ".fsConstituentTitle", "[class*='title' i]"), ("Title", "Position", "Role")),
+}
+PROFILE_ADDRESSES = (".fsEmail", ".fsStyleSROnly", ".fsConstituentEmail", "[class*='mail' i]")
+PROFILE_REGION = ".fsConstituentProfile, .fsElementConstituentProfile, .fsModalContent, .fsProfile, main, #fsPageBody"
+VENDOR_CARDS = (".fsConstituentItem, .fsConstituentProfile", "[class*='fsConstituent'], [class*='constituent' i]")
+VENDOR_NAME = ".fsFullName, .fsConstituentName, .fsFullNameLink, h3, h4, .name"
+VENDOR_TITLE = ".fsTitles, .fsConstituentTitle, .fsRoles, .title, .position"
+VENDOR_LINK = "a.fsConstituentProfileLink, a.fsFullNameLink, .fsFullName a, a[href*='/profile'], a[href*='constituent']"
