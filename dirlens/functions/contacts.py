@@ -54,7 +54,9 @@ def decode_hex(c: Column) -> Column:
 
 def hidden_emails(c: Column) -> Column:
     """Addresses written as "user (at) host dot org": valid ones in order, each once."""
-    found = F.regexp_extract_all(c, F.lit(f"(?i){words.HIDDEN_EMAIL}"), 0)
+    # the pattern goes back and forth over a whole text, so texts without its middle are left out first
+    likely = F.when(F.rlike(c, F.lit(r"(?i)@|\[at\]|\(at\)|\sat\s")), c)
+    found = F.coalesce(F.regexp_extract_all(likely, F.lit(f"(?i){words.HIDDEN_EMAIL}"), 0), F.array().cast("array<string>"))
     made = F.transform(found, lambda m: email(F.regexp_replace(m, f"(?i)^{words.HIDDEN_EMAIL}$", "$1@$2.$3")))
     return F.array_distinct(F.filter(made, lambda e: e.isNotNull()))
 

@@ -6,6 +6,8 @@ always bounded, so traversals unroll into joins; each keeps the order in which l
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,10 +65,11 @@ def sitemap_schools(districts: DataFrame, pages: DataFrame) -> DataFrame:
     """The same columns from /sitemap.xml in pages (url, html), sitemap indexes one level deep; nested maps first."""
     c = F.col
     roots = districts.select("district", "website", contacts.url_join("website", F.lit("/sitemap.xml")).alias("map"), F.lit(1).alias("level"), F.lit(0).alias("at"))
-    store = pages.select(c("url").alias("map"), udfs.sitemap("html").alias("entries"))
 
     def entries(maps: DataFrame) -> DataFrame:
-        return maps.join(store, "map").select("district", "website", "level", "at", F.explode("entries").alias("e"))
+        # only the pages asked for are read
+        asked = pages.withColumnRenamed("url", "map").join(maps.select("map").distinct(), "map", "left_semi")
+        return maps.join(asked.select("map", udfs.sitemap("html").alias("entries")), "map").select("district", "website", "level", "at", F.explode("entries").alias("e"))
 
     top = entries(roots)
     nested = entries(top.where("e.kind = 'sitemap'").select("district", "website", c("e.url").alias("map"), F.lit(0).alias("level"), c("e.pos").alias("at")))
@@ -140,13 +143,14 @@ def resolve_directories(districts: DataFrame, pages: DataFrame, most: int = 6) -
 def fan_out(districts: DataFrame, pages: DataFrame, most_schools: int = 25, most_directories: int = 8) -> DataFrame:
     """district, school, school_url, url, ord of every directory of districts (district, website, known_url) and their campuses.
 
-    A campus that is the district again is left out; a directory counts for the first target that has it.
+    Where districts have a status, a known address counts only if that is `found`. A campus that is the district again is left out; a directory counts for the first target that has it.
     """
     c = F.col
     campuses = capped(discover_schools(districts.select("district", "website"), pages), ["district"], most_schools, ["source", "pos"])
     same = (contacts.host(c("url")) == contacts.host(c("website"))) & (c("name") == c("district"))
     targets = campuses.where(~same).select("district", c("name").alias("school"), c("url").alias("school_url"), F.lit(None).cast("string").alias("known_url"), (c("source") + 1).alias("s"), "pos")
-    whole = districts.select("district", c("district").alias("school"), c("website").alias("school_url"), "known_url", F.lit(0).alias("s"), F.lit(0).alias("pos"))
+    known = F.when(c("status") == "found", c("known_url")) if "status" in districts.columns else c("known_url")
+    whole = districts.select("district", c("district").alias("school"), c("website").alias("school_url"), known.alias("known_url"), F.lit(0).alias("s"), F.lit(0).alias("pos"))
     every = whole.unionByName(targets).withColumn("school_id", F.concat_ws("\u0001", "district", "school", "school_url"))
     found = find_directories(every.where("known_url is null").select("school_id", "school_url").distinct(), pages, most_directories)
     rows = every.join(found, "school_id", "left").select("district", "school", "school_url", F.coalesce("known_url", "url", "school_url").alias("url"), "s", "pos", F.coalesce("rank", F.lit(1)).alias("rank"))
@@ -164,18 +168,16 @@ def campus_targets(gaps: DataFrame, pages: DataFrame) -> DataFrame:
 def follow_pages(starts: DataFrame, pages: DataFrame, most: int = 25) -> DataFrame:
     """id, url, page of starts (id, url) and the pages that follow by next links, each once, at most `most`.
 
-    A recursive query over the edges of the page store; links are read once for each page.
+    One join a page of depth: only the pages that are reached are read. An address not in pages ends a walk.
     """
-    spark = pages.sparkSession
-    edges = cut(pages.select(F.col("url").alias("src"), udfs.directory("html", "url")["next_url"].alias("dst")))
-    cut(starts).createOrReplaceTempView("_follow_starts")
-    edges.createOrReplaceTempView("_follow_edges")
-    return spark.sql(f"""
-        WITH RECURSIVE walk(id, url, page, seen) AS (
-          SELECT id, url, 1, array(url) FROM _follow_starts
-          UNION ALL
-          SELECT w.id, e.dst, w.page + 1, array_append(w.seen, e.dst) FROM walk w JOIN _follow_edges e ON w.url = e.src
-          WHERE e.dst IS NOT NULL AND NOT array_contains(w.seen, e.dst) AND w.page < {int(most)}
-        )
-        SELECT id, url, page FROM walk LEFT SEMI JOIN _follow_edges e ON walk.url = e.src
-    """)
+    walk = starts.select("id", "url", F.array("url").alias("seen"))
+    reached = []
+    for page in range(1, most + 1):
+        here = walk.join(pages.select("url", "html"), "url")
+        onward = F.lit(None).cast("string") if page == most else udfs.directory("html", "url")["next_url"]
+        read = cut(here.select("id", "url", "seen", onward.alias("next")))
+        reached.append(read.select("id", "url", F.lit(page).alias("page")))
+        walk = read.where(F.col("next").isNotNull() & ~F.array_contains("seen", F.col("next"))).select("id", F.col("next").alias("url"), F.array_append("seen", F.col("next")).alias("seen"))
+        if page == most or walk.isEmpty():
+            break
+    return reduce(DataFrame.unionAll, reached)

@@ -58,7 +58,14 @@ def leads(people: DataFrame) -> DataFrame:
 
 
 def wide(people: DataFrame) -> DataFrame:
-    return people.select(*EMPLOYEE)
+    """The whole employee frame: columns that people lacks are null, lists are joined, times are ISO 8601 in UTC."""
+    blank = F.lit(None).cast("string")
+    held = {c: F.col(c) if c in people.columns else blank.alias(c) for c in EMPLOYEE}
+    if "subjects" in people.columns:
+        held["subjects"] = text.blank_to_null(F.array_join("subjects", "; ")).alias("subjects")
+    if "scraped_at" in people.columns:
+        held["scraped_at"] = F.date_format(F.to_utc_timestamp("scraped_at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("scraped_at")
+    return people.select(*[held[c] for c in EMPLOYEE])
 
 
 def fill_emails(people: DataFrame, pages: DataFrame, most: int = 400) -> DataFrame:

@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder: spark.checkpoint.dir; one of our own only where that is unset."""
+    """The session's checkpoint folder: spark.checkpoint.dir; one of our own only in local mode, where that is unset.
+
+    On a cluster a folder of the driver's machine could not be read by the executors, so there it must be set.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dirlens-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not (sc.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="dirlens-checkpoint-"))
     return sc.getCheckpointDir()
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from dirlens.functions import text
 from dirlens.functions.words import LEAD_ORDER, TYPES
@@ -18,8 +19,9 @@ from dirlens.schemas import LEAD, LEAD_HEADERS
 
 
 def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[str | Column] = ("ord",)) -> DataFrame:
-    """The first row by order for each key; Spark prunes to one row a key before the shuffle."""
-    place = Window.partitionBy(*keys).orderBy(*order)
+    """The first row by order for each key, ties by all columns that have an order; Spark prunes to one row a key before the shuffle."""
+    rest = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType)) and f.name not in order]
+    place = Window.partitionBy(*keys).orderBy(*order, *[F.col(f"`{c}`") for c in rest])
     return df.withColumn("_rank", F.row_number().over(place)).where("_rank = 1").drop("_rank")
 
 
@@ -108,6 +110,20 @@ def fixed_counts(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame
     return values.join(df.groupBy(column).count(), column, "left").select(column, "rank", F.coalesce("count", F.lit(0)).alias("n"))
 
 
+def with_addresses(profiles: DataFrame, least: int = 3) -> DataFrame:
+    """Profiles of pages with so many addressed links or more."""
+    return profiles.where(F.col("n_mailto") >= least)
+
+
+def of_style(profiles: DataFrame, style: str) -> DataFrame:
+    return profiles.where(F.col("dir_style") == style)
+
+
+def true_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """For each boolean column, the number of rows where it is true; nulls are not."""
+    return df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(c) for c in columns])
+
+
 def lead_type_counts(leads: DataFrame) -> DataFrame:
     return fixed_counts(leads, "lead_type", LEAD_ORDER)
 
@@ -164,8 +180,16 @@ def capped(df: DataFrame, keys: Sequence[str], most: int, order: Sequence[str |
 
 def exact_sample(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
     """Exactly max(1, round(n * fraction)) rows, half to even, the same ones each time, in order of key."""
-    size = max(1, round(df.count() * fraction))
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(size).orderBy(key)
+    n = df.count()
+    size = max(1, round(n * fraction))
+    mark = F.xxhash64(key, F.lit(seed))
+    # only rows about the share wanted are sorted: a bound on the hash that leaves too few is raised
+    bound, few = fraction, True
+    while few and bound < 0.5:
+        bound = bound * 1.2 + 100 / max(1, n)
+        some = df.where(mark < F.lit(int((2 * min(bound, 0.5) - 1) * 2**63)))
+        few = some.count() < size
+    return (df if few else some).orderBy(mark, key).limit(size).orderBy(key)
 
 
 def named_any(df: DataFrame, column: str, parts: Sequence[str]) -> DataFrame:

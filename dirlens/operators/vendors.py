@@ -10,6 +10,10 @@ from dirlens.html import udfs
 from dirlens.operators.relational import dedupe_foxbright, keep_first
 
 
+#: Letters of a shown text by which it is looked up.
+GRAM = 4
+
+
 def finalsite_people(pages: DataFrame) -> DataFrame:
     """Leads of vendor list pages (district, school, url, html, page): without junk gate, every card counts."""
     c = F.col
@@ -74,13 +78,18 @@ def fill_profiles(people: DataFrame, pages: DataFrame, most: int = 600) -> DataF
 def match_handles(handles: DataFrame, people: DataFrame) -> DataFrame:
     """handles (district, handle, cid, shown) with the key of the person they belong to.
 
-    By identifier, else the first person whose name contains the text shown.
+    By identifier, else the first person whose name contains the text shown. The two meet by the text's first
+    GRAM letters, which must stand in the name, so a large district is no product of its handles and people.
     """
     own = people.select("district", F.col("cid"), F.col("key").alias("by_id")).where("cid <> ''")
     step = handles.join(own, ["district", "cid"], "left")
     rest = step.where("by_id is null").select("district", "handle", F.lower("shown").alias("shown")).where("shown <> ''")
     named = people.select("district", "key", "page", "pos", F.lower(F.concat_ws(" ", F.coalesce("first_name", F.lit("None")), F.coalesce("last_name", F.lit("None")))).alias("full"))
-    near = rest.join(named, "district").where(F.contains("full", F.col("shown")))
+    size = F.least(F.length("shown"), F.lit(GRAM))
+    asked = rest.withColumn("gram", F.substring("shown", 1, GRAM)).withColumn("size", size)
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("full") - n + 1)), lambda i: F.substring(F.col("full"), i, n))))
+    indexed = named.withColumn("gram", F.explode(F.array_distinct(grams)))
+    near = asked.join(indexed, ["district", "gram"]).where(F.contains("full", F.col("shown")))
     best = near.groupBy("district", "handle").agg(F.min_by("key", F.struct("page", "pos")).alias("by_name"))
     return step.join(best, ["district", "handle"], "left").select("district", "handle", F.coalesce("by_id", "by_name").alias("key"))
 

@@ -10,25 +10,31 @@ from dirlens.operators import crawl, extract, relational, vendors
 from dirlens.operators.lineage import cut
 
 
-def resolve(districts: DataFrame, store: DataFrame, sample: float | None = None, limit: int = 0) -> DataFrame:
+def _pages(store: DataFrame, robots: DataFrame | None) -> DataFrame:
+    """The fetched pages of a store, without those that robots (host, disallow) forbids."""
+    pages = crawl.fetched(store)
+    return pages if robots is None else crawl.allowed(pages, robots)
+
+
+def resolve(districts: DataFrame, store: DataFrame, sample: float | None = None, limit: int = 0, robots: DataFrame | None = None) -> DataFrame:
     """District list to directory links: sample, order, limit, then probing and crawling."""
     rows = districts if sample is None else relational.exact_sample(districts, sample, "district_name")
     rows = relational.head(rows, limit, ["district_name"])
-    found = crawl.resolve_directories(rows.select(F.col("district_name").alias("district"), "website"), crawl.fetched(store))
+    found = crawl.resolve_directories(rows.select(F.col("district_name").alias("district"), "website"), _pages(store, robots))
     return rows.join(found.drop("website").withColumnRenamed("district", "district_name"), "district_name", "left")
 
 
 def profile(links: DataFrame, store: DataFrame) -> DataFrame:
     """Directory links to fingerprints; a directory that isn't in the store has notes 'no html'."""
-    rows = relational.dedupe_districts(links.where("staff_directory_url <> ''").withColumn("ord", F.lit(0)))
+    rows = relational.dedupe_districts(links.where("staff_directory_url <> ''").withColumn("ord", F.col("staff_directory_url")))
     pages = rows.join(crawl.fetched(store).withColumnRenamed("url", "staff_directory_url"), "staff_directory_url", "left").withColumnRenamed("staff_directory_url", "url")
     print_ = extract.fingerprint(pages)
     return print_.withColumnRenamed("url", "staff_directory_url").withColumn("notes", F.when(F.col("n_mailto").isNull(), "no html").otherwise(""))
 
 
-def leads(districts: DataFrame, store: DataFrame, follow_profiles: bool = True) -> DataFrame:
-    """Districts (district, website, known_url) to deduplicated leads: fan-out, pagination, extraction, profiles."""
-    pages = crawl.fetched(store)
+def leads(districts: DataFrame, store: DataFrame, follow_profiles: bool = True, robots: DataFrame | None = None) -> DataFrame:
+    """Districts (district, website, known_url, perhaps status) to deduplicated leads: fan-out, pagination, extraction, profiles."""
+    pages = _pages(store, robots)
     directories = cut(crawl.fan_out(districts, pages))
     walks = directories.select(F.struct("district", "url").alias("id"), "url")
     followed = crawl.follow_pages(walks, pages)
@@ -41,9 +47,9 @@ def leads(districts: DataFrame, store: DataFrame, follow_profiles: bool = True)
     return relational.dedupe_people(ordered)
 
 
-def finalsite(profiles: DataFrame, store: DataFrame, probe: bool = True, names: tuple[str, ...] = (), exact: tuple[str, ...] = (), limit: int = 0) -> DataFrame:
+def finalsite(profiles: DataFrame, store: DataFrame, probe: bool = True, names: tuple[str, ...] = (), exact: tuple[str, ...] = (), limit: int = 0, robots: DataFrame | None = None) -> DataFrame:
     """Vendor directories of profiles to deduplicated vendor leads."""
-    pages = crawl.fetched(store)
+    pages = _pages(store, robots)
     seeds = relational.vendor_targets(profiles, names, exact, limit=limit).select(F.col("district_name").alias("district"), F.col("staff_directory_url").alias("seed"))
     starts = vendors.probe_directory(seeds, pages, words.VENDOR_PATHS) if probe else seeds.withColumnRenamed("seed", "url")
     listed = vendors.page_urls(starts.join(pages, "url"))
@@ -52,9 +58,9 @@ def finalsite(profiles: DataFrame, store: DataFrame, probe: bool = True, names:
     return relational.dedupe_vendor(people.withColumn("ord", F.struct("page", "pos")))
 
 
-def foxbright(targets: DataFrame, store: DataFrame, cap: int = 40) -> DataFrame:
+def foxbright(targets: DataFrame, store: DataFrame, cap: int = 40, robots: DataFrame | None = None) -> DataFrame:
     """Inline targets (district, url) to leads of the second vendor."""
-    pages = crawl.fetched(store)
+    pages = _pages(store, robots)
     listed = vendors.foxbright_pages(targets.join(pages, "url"), cap)
     return vendors.foxbright_people(listed.join(pages, "url"), pages)
 

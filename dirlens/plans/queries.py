@@ -406,3 +406,22 @@ def campus_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def district_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = values(spark, fixtures.KNOWN, "district string, website string, known_url string")
     return extract.leads(pipelines.leads(rows, store(spark))).select("district", "school", "first_name", "last_name", "email", "role", "lead_type")
+
+
+_PROFILES_SQL = "p AS (SELECT c_custkey AS id, c_custkey % 7 AS n_mailto, CASE c_custkey % 3 WHEN 0 THEN 'table' WHEN 1 THEN 'cards' END AS dir_style, CASE WHEN c_custkey % 5 > 0 THEN c_custkey % 5 = 1 END AS austin_like FROM customer)"
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    style, like = F.when(key % 3 == 0, "table").when(key % 3 == 1, "cards"), F.when(key % 5 > 0, key % 5 == 1)
+    return table(spark, sf_dir, "customer").select(key.alias("id"), (key % 7).alias("n_mailto"), style.alias("dir_style"), like.alias("austin_like"))
+
+
+@query(f"WITH {_PROFILES_SQL} SELECT id, n_mailto, dir_style FROM p WHERE n_mailto >= 3 AND dir_style = 'table'")
+def profile_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.of_style(relational.with_addresses(_profiles(spark, sf_dir)), "table").select("id", "n_mailto", "dir_style")
+
+
+@query(f"WITH {_PROFILES_SQL} SELECT count(*) FILTER (WHERE austin_like) AS austin_like FROM p")
+def profile_austin_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.true_counts(_profiles(spark, sf_dir), ["austin_like"])

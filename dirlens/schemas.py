@@ -1,10 +1,11 @@
-"""Column orders and types of the tables that the operators exchange."""
+"""Column orders and types of the tables that the operators exchange; fixed values."""
 
 LEAD = ("district", "school", "first_name", "last_name", "email", "role", "lead_type")
 LEAD_HEADERS = {"district": "District", "school": "School", "first_name": "First Name", "last_name": "Last Name", "email": "Email", "role": "Role", "lead_type": "Lead Type"}
 EMPLOYEE = (
-    "district", "school", "name", "first_name", "last_name", "title", "department", "email", "phone", "extension", "photo_url",
-    "profile_url", "school_url", "directory_url", "employee_type", "lead_type",
+    "district", "school", "name", "first_name", "last_name", "title", "department", "email", "phone", "extension", "room",
+    "office", "subjects", "grade", "biography", "photo_url", "profile_url", "school_url", "directory_url", "employee_type",
+    "lead_type", "scraped_at",
 )
 DISTRICT = ("district_number", "district_name", "county", "region", "website")
 DIRECTORY_LINK = (*DISTRICT, "staff_directory_url", "method", "status")

@@ -26,10 +26,24 @@ def yields(people: DataFrame, window: str = "10 minutes", delay: str = "1 hour")
     return timed.agg(F.count("*").alias("n_rows"), F.count_if(F.col("email").isNotNull()).alias("n_emails")).select(F.col("window.start").alias("start"), "district", "n_rows", "n_emails")
 
 
-def upsert_to(path: str):
+def write_batches(path: str):
     """A foreachBatch sink: each batch, deduplicated, is a folder of its own that a retry overwrites."""
 
     def write(batch: DataFrame, number: int) -> None:
         relational.dedupe_people(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return write
+
+
+def run_so_far(batches: DataFrame) -> DataFrame:
+    """The people of all written batches (batch, ...): each once over the whole run, the first batch's row.
+
+    A person whose first row has no address takes that of their first later row that has one.
+    """
+    c = F.col
+    same = [F.coalesce(F.lower(x), F.lit("")) for x in ("district", "school", "name", "title")]
+    rows = batches.withColumn("ord", F.struct("batch", "ord"))
+    later = rows.where(c("email").isNotNull()).groupBy(*[k.alias(f"_{i}") for i, k in enumerate(same)]).agg(F.min_by("email", "ord").alias("_email"))
+    meets = [k == c(f"_{i}") for i, k in enumerate(same)]
+    filled = rows.join(later, meets, "left").withColumn("email", F.coalesce("email", "_email"))
+    return relational.dedupe_people(filled.select(*rows.columns)).drop("batch")

@@ -72,11 +72,45 @@ def test_stream_of_pages(spark, tmp_path: Path):
     first.processAllAvailable()
     first.stop()
     assert spark.table("first_seen").count() == 2
-    out = arrivals.people(stream).writeStream.foreachBatch(arrivals.upsert_to(str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "cp")).start()
+    out = arrivals.people(stream).writeStream.foreachBatch(arrivals.write_batches(str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "cp")).start()
     out.processAllAvailable()
     out.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert arrivals.run_so_far(spark.read.parquet(str(tmp_path / "out"))).count() == 2
     counts = arrivals.yields(arrivals.people(stream)).writeStream.format("memory").queryName("yields").outputMode("complete").start()
     counts.processAllAvailable()
     counts.stop()
     assert [r["n_rows"] for r in spark.table("yields").collect()] == [6]
+
+
+def test_run_of_batches_keeps_the_first_and_fills_addresses(spark):
+    rows = [(0, 1, "D", "S", "Ann Lee", "Clerk", None), (1, 0, "D", "S", "Ann Lee", "Clerk", "a@x.example.org"), (1, 1, "D", "S", "Bo Kim", "Clerk", None), (2, 0, "D", "S", "ann lee", "Clerk", "b@x.example.org"), (2, 1, "D", "T", "Ann Lee", "Clerk", None)]
+    found = arrivals.run_so_far(spark.createDataFrame(rows, "batch int, ord int, district string, school string, name string, title string, email string"))
+    assert sorted((r["school"], r["name"], r["email"] or "") for r in found.collect()) == [("S", "Ann Lee", "a@x.example.org"), ("S", "Bo Kim", ""), ("S", "ann lee", "b@x.example.org"), ("T", "Ann Lee", "")]
+
+
+def test_known_address_counts_if_found(spark):
+    pages = spark.createDataFrame([], "url string, html string")
+    rows = [("A", "https://a.example.org", "https://a.example.org/staff", "found"), ("B", "https://b.example.org", "https://b.example.org/staff", "not_found")]
+    found = crawl.fan_out(spark.createDataFrame(rows, "district string, website string, known_url string, status string"), pages)
+    assert {r["district"]: r["url"] for r in found.collect()} == {"A": "https://a.example.org/staff", "B": "https://b.example.org"}
+
+
+def test_small_readers_and_frames(spark, tmp_path: Path):
+    """read_table, read_pages, inline_targets, merge_hits, wide, employee_type_counts, email_domain's kin and head."""
+    from dirlens.operators import extract, relational
+
+    (tmp_path / "t.csv").write_text("a,b\n1,\n2,x\n")
+    assert [tuple(r) for r in districts.read_table(spark, str(tmp_path / "t.csv"), "a int, b string").collect()] == [(1, None), (2, "x")]
+    spark.createDataFrame([("u", "<p>")], "url string, html string").write.parquet(str(tmp_path / "p"))
+    assert tuple(districts.read_pages(spark, str(tmp_path / "p")).first()) == ("u", "<p>", 200, "text/html", "static")
+    assert [tuple(r) for r in districts.inline_targets(spark, [("D", "u")]).collect()] == [("D", "u")]
+    hits = spark.createDataFrame([("u", "e", 1, 0, "late"), ("u", "e", 0, 5, "first"), ("v", "e", 1, 0, "other")], "url string, email string, state int, pos int, name string")
+    assert sorted(r["name"] for r in extract.merge_hits(hits).collect()) == ["first", "other"]
+    people = spark.createDataFrame([("D", "S", "A B", ["x", "y"], "Teacher")], "district string, school string, name string, subjects array<string>, employee_type string").withColumn("scraped_at", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    row = extract.wide(people).first()
+    assert len(row) == 22 and row["subjects"] == "x; y" and row["scraped_at"] == "2024-01-02T03:04:05+00:00" and row["room"] is None
+    assert sum(r["n"] for r in relational.employee_type_counts(people.withColumn("employee_type", F.lit(relational.TYPES[0]))).collect()) == 1
+    numbers = spark.range(10)
+    assert [r[0] for r in relational.head(numbers, 3, ["id"]).collect()] == [0, 1, 2] and relational.head(numbers, 0, ["id"]).count() == 10
+    assert sorted(r[0] for r in relational.exact_sample(spark.range(5000), 0.1, "id").collect()) == sorted(sorted(range(5000), key=dict((r[0], r[1]) for r in spark.range(5000).select("id", F.xxhash64("id", F.lit(42))).collect()).get)[:500])
