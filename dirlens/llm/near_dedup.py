@@ -341,3 +341,26 @@ def _grouped(docs: DataFrame, n: int, num: int, den: int, coordinates: int) -> D
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(tables.read(spark, sf_dir, "documents"), n=3, num=85)
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([array_to_string(words[i:i + 2], ' ') for i in range(1, len(words) - 1)]) END) AS shingles FROM w
+), one AS (
+  SELECT shingles, min(doc_id) AS v FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+), each AS (
+  SELECT v, len(shingles) AS n, unnest(shingles) AS shingle FROM one
+), links AS (
+  SELECT a.v AS a, b.v AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.v <> b.v
+  GROUP BY a.v, b.v, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a AS v, b AS other FROM links UNION SELECT r.v, l.b FROM reach r JOIN links l ON r.other = l.a
+), label AS (
+  SELECT shingles, least(v, min(other)) AS component_id FROM one LEFT JOIN reach USING (v) GROUP BY shingles, v
+)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN label USING (shingles)
+"""

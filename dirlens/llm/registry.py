@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dirlens.llm import line_dedup, mixing, tool_calls
+from dirlens.llm import line_dedup, mixing, near_dedup, substring_dedup, tool_calls
 from dirlens.llm.audio import op1_audio_features
 from dirlens.llm.decontaminate import op4_decontaminate
 from dirlens.llm.html_extract import op10_html_extraction
@@ -38,4 +38,6 @@ SQL: dict[str, str] = {
     "op2_temperature_mixing": mixing.SQL,
     "op7_chat_tool_calls": tool_calls.SQL,
     "op3_line_dedup": line_dedup.SQL,
+    "op6_minhash_near_dedup": near_dedup.SQL,
+    "op9_substring_dedup": substring_dedup.SQL,
 }

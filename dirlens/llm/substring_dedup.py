@@ -212,4 +212,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(tables.read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"), F.size("factors").alias("n_factors"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW} + 2)) AS i FROM w WHERE len(words) >= {WINDOW}
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + {WINDOW} - 1], ' ')) AS words_hash FROM starts
+), repeated AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY words_hash) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i, true AS is_gone FROM repeated, range(0, {WINDOW}) AS r(k)
+), each AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) FILTER (WHERE is_gone IS NULL) AS words_kept, count(is_gone) AS n_removed FROM each LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(words_kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
