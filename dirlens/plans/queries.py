@@ -271,12 +271,39 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.groupBy("page_id", "href", "target").agg(F.count("*").alias("n"))
 
 
-@query(name="page_fingerprint")
+def _tags_sql(name: str, attribute: str, value: str) -> str:
+    """The tags of this name whose attribute holds the pattern."""
+    return f"""regexp_extract_all(html, '(?is)<{name}(?:\\s[^>]*)?\\s{attribute}\\s*=\\s*["\'\']{value}')"""
+
+
+#: The facts of a page by patterns on its source: right for pages whose scripts and comments hold no such tags.
+FACTS_SQL = f"""tables AS (
+  SELECT page_id, url, html, regexp_extract_all(html, '(?is)<table.*?</table') AS ts FROM pages
+), counted AS (
+  SELECT *, list_max([len(regexp_extract_all(t, '(?i)<tr[\\s>]')) for t in ts]) AS most FROM tables
+), facts AS (
+  SELECT page_id, url, html, CAST(len({_tags_sql("a", "href", "mailto:")}) AS INTEGER) AS n_mailto, CAST(coalesce(most, 0) AS INTEGER) AS n_table_rows,
+    CAST(len({_tags_sql("[a-z][a-z0-9]*", "class", "[^\"\'\']*(?:staff|employee|faculty|person|directory-item)")}) AS INTEGER) AS n_cards,
+    coalesce([t for t in ts if len(regexp_extract_all(t, '(?i)<tr[\\s>]')) = most][1] ILIKE '%mailto:%', false) AS table_has_mail,
+    regexp_extract(html, '(?is)<meta\\s[^>]*name="[^">]*generator[^">]*"[^>]*content="([^">]*)"', 1) AS generator,
+    length(trim(regexp_replace(regexp_replace(html, '(?is)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))) AS text_length
+  FROM counted
+), styled AS (
+  SELECT *, {_hay_sql(words.CMS, "'unknown'")} AS cms, {_hay_sql(words.VENDORS, "''")} AS vendor_host,
+    CASE WHEN n_table_rows >= 4 AND (table_has_mail OR n_mailto >= 3) THEN 'email_table' WHEN n_cards >= 3 AND n_mailto >= 3 THEN 'card_grid_email'
+      WHEN n_cards >= 3 AND n_mailto = 0 THEN 'card_grid_no_email' WHEN n_mailto >= 5 THEN 'mailto_list'
+      WHEN text_length < 400 OR (n_cards = 0 AND n_table_rows < 2 AND n_mailto = 0) THEN 'js_or_empty' ELSE 'unknown' END AS dir_style
+  FROM facts
+)"""
+
+
+@query(f"""WITH {FACTS_SQL} SELECT page_id, cms, generator, vendor_host, dir_style, n_mailto, n_table_rows, n_cards,
+  dir_style = 'email_table' AND (contains(lower(generator), 'drupal') OR vendor_host IN ('austinschools', 'esc_regional') OR rtrim(url, '/') LIKE '%/directory') AS austin_like FROM styled""")
 def page_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.fingerprint(table(spark, sf_dir, "pages")).select("page_id", "cms", "generator", "vendor_host", "dir_style", "austin_like", "n_mailto", "n_table_rows", "n_cards")
 
 
-@query("SELECT 'js_or_empty' AS dir_style, count(*) AS n FROM pages WHERE NOT regexp_matches(html, '<table|mailto:|class=\"[^\"]*(staff|employee|faculty|person|directory-item)') HAVING count(*) > 0")
+@query(f"WITH {FACTS_SQL} SELECT dir_style, count(*) AS n FROM styled GROUP BY dir_style")
 def dir_style_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.value_counts(extract.fingerprint(table(spark, sf_dir, "pages").select("url", "html")), "dir_style")
 
