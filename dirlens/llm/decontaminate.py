@@ -12,7 +12,8 @@ still does the postings in the block are added up. Skipping is safe: all items a
 above the threshold, a share of the item's own score, are retrieved.
 
 Retrieved items are verified on the passage's words: the shares of the five-word shingles of the
-item's question and of its answer that occur there must both reach the overlap. The answer is the
+item's question and of its answer that occur there must both reach the overlap, or that of the whole
+item must, so that a changed word in a short answer hides no item. The answer is the
 item's last sentence, or its last third where it has one sentence; a part of fewer than five words
 is one shingle.
 
@@ -43,7 +44,7 @@ RETRIEVE, OVERLAP, SHINGLE = 0.6, 0.8, 5
 ITEMS, BLOCK = 20_000, 8
 #: Sums by passage and block that are held at a time.
 ENTRIES = 1 << 20
-MATCHES = "array<struct<item_id:long,score:double,question:double,answer:double>>"
+MATCHES = "array<struct<item_id:long,score:double,question:double,answer:double,whole:double>>"
 
 
 def parts(item: str) -> tuple[str, str]:
@@ -111,6 +112,7 @@ class Index:
         pieces = [parts(items[i][1]) for i in order]
         self.question = [shingles(word_hashes([q])[0]) for q, _ in pieces]
         self.answer = [shingles(word_hashes([a])[0]) for _, a in pieces]
+        self.whole = [shingles(hashes[bounds[i] : bounds[i + 1]]) for i in order]
 
     def held(self, term: np.ndarray, block: np.ndarray) -> np.ndarray:
         """The entries of these (term, block), -1 for those that don't occur."""
@@ -157,8 +159,8 @@ class Index:
             hit = np.flatnonzero(inside & (score >= retrieve))
             yield from zip(g[hit // BLOCK].tolist(), place[hit].tolist(), score[hit].tolist(), strict=True)
 
-    def search(self, words: np.ndarray, bounds: np.ndarray, retrieve: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
-        """(text, item id, score, question overlap, answer overlap) of the best passage for each."""
+    def search(self, words: np.ndarray, bounds: np.ndarray, retrieve: float, overlap: float) -> list[tuple[int, int, float, float, float, float]]:
+        """(text, item id, score, question, answer and whole overlap) of the best passage for each."""
         if not len(self.ids) or not len(words):
             return []
         counts = np.diff(bounds)
@@ -179,15 +181,15 @@ class Index:
         at_passage = np.flatnonzero(np.diff(passage, prepend=-1))
         end = np.append(at_passage[1:], len(passage))
         group = np.repeat(np.arange(len(at_passage)), end - at_passage)
-        best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        best: dict[tuple[int, int], tuple[float, float, float, float]] = {}
         for g, i, score in self.retrieved(term, group, at_passage, end, retrieve):
             at = passage[at_passage[g]]
             d = int(np.searchsorted(base, at, "right")) - 1
             first = int(bounds[d] + (at - base[d]) * step)
             own_words = words[first : min(first + 2 * step, int(bounds[d + 1]))]
-            shares = [share(x, own_words) for x in (self.question[i], self.answer[i])]
-            if min(shares) >= overlap:
-                found = (round(min(1.0, score), 6), shares[0], shares[1])
+            question, answer, whole = (share(x, own_words) for x in (self.question[i], self.answer[i], self.whole[i]))
+            if min(question, answer) >= overlap or whole >= overlap:
+                found = (round(min(1.0, score), 6), question, answer, whole)
                 best[d, int(self.ids[i])] = max(best.get((d, int(self.ids[i])), found), found)
         return [(d, i, *x) for (d, i), x in sorted(best.items())]
 
@@ -205,9 +207,9 @@ def indexes(items: DataFrame) -> list[Index]:
 
 
 def matches(spark: SparkSession, index: Index, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> Callable[[Column | str], Column]:
-    """A function of a text column: array of item_id, score, question and answer, by item_id."""
+    """A function of a text column: array of item_id, score, question, answer and whole, by item_id."""
     shared = spark.sparkContext.broadcast(index)
-    kind = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
+    kind = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64()), ("whole", pa.float64())])
 
     @F.arrow_udf(MATCHES)
     def find(texts: pa.Array) -> pa.Array:
@@ -215,18 +217,18 @@ def matches(spark: SparkSession, index: Index, retrieve: float = RETRIEVE, overl
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         for lo, hi in text.slices(offsets):
             words = text.Words(body, offsets, lo, hi, apart=text.IS_MARK)
-            for d, item, score, question, answer in shared.value.search(words.hashes(), words.bounds, retrieve, overlap):
-                out[lo + d].append({"item_id": item, "score": score, "question": question, "answer": answer})
+            for d, item, score, question, answer, whole in shared.value.search(words.hashes(), words.bounds, retrieve, overlap):
+                out[lo + d].append({"item_id": item, "score": score, "question": question, "answer": answer, "whole": whole})
         return pa.array(out, pa.list_(kind))
 
     return find
 
 
 def leaks(docs: DataFrame, items: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
-    """doc_id, item_id, score, question_overlap and answer_overlap of every leak of items in docs."""
+    """doc_id, item_id, score, question_overlap, answer_overlap and item_overlap of every leak of items in docs."""
     each = [docs.select("doc_id", F.explode(matches(docs.sparkSession, x, retrieve, overlap)("text")).alias("m")) for x in indexes(items)]
     found = reduce(DataFrame.unionAll, each)
-    return found.select("doc_id", "m.item_id", "m.score", F.col("m.question").alias("question_overlap"), F.col("m.answer").alias("answer_overlap"))
+    return found.select("doc_id", "m.item_id", "m.score", F.col("m.question").alias("question_overlap"), F.col("m.answer").alias("answer_overlap"), F.col("m.whole").alias("item_overlap"))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, retrieve: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:

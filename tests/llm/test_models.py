@@ -190,10 +190,10 @@ def brute_leaks(docs, items):
                 if score < decontaminate.RETRIEVE:
                     continue
                 shares = []
-                for part in map(split, decontaminate.parts(t)):
+                for part in map(split, (*decontaminate.parts(t), t)):
                     n = min(decontaminate.SHINGLE, len(part))
                     shares.append(len(grams(part, n) & grams(passage, n)) / len(grams(part, n)) if n else 1.0)
-                if min(shares) >= decontaminate.OVERLAP:
+                if min(shares[:2]) >= decontaminate.OVERLAP or shares[2] >= decontaminate.OVERLAP:
                     best[i] = max(best.get(i, (0,)), (round(min(1.0, score), 5), *shares))
         out += [(r["doc_id"], i, *v) for i, v in best.items()]
     return out
@@ -201,7 +201,7 @@ def brute_leaks(docs, items):
 
 def test_leaks(spark):
     docs, items = leak_rows(spark)
-    found = [(r[0], r[1], round(r[2], 5), r[3], r[4]) for r in decontaminate.leaks(docs, items).collect()]
+    found = [(r[0], r[1], round(r[2], 5), *r[3:]) for r in decontaminate.leaks(docs, items).collect()]
     expected = brute_leaks(docs.collect(), items.collect())
     assert len(expected) > 15 and len({x[2:] for x in expected}) > 2
     assert [x[:2] for x in sorted(found)] == [x[:2] for x in sorted(expected)]
@@ -210,6 +210,17 @@ def test_leaks(spark):
     assert kept == {r["doc_id"] for r in docs.collect()} - {x[0] for x in expected}
 
 
+@pytest.mark.parametrize("at", [3, 17, 32, 36])
+def test_one_changed_word_hides_no_item(spark, at):
+    """Neither in the question nor in an answer of four words; a question without its answer is no leak."""
+    words = [f"q{i}" for i in range(33)] + [".", "a0", "a1", "a2", "a3."]
+    items = spark.createDataFrame([(7, " ".join(words).replace(" .", ".")), (8, "some other item. of no use.")], "item_id long, text string")
+    texts = [words[:at] + ["changed"] + words[at + 1 :], words[:20], words[34:]]
+    docs = spark.createDataFrame([(i, " ".join(f"p{i}{k}" for k in range(50)) + " " + " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [tuple(r)[:2] for r in decontaminate.leaks(docs, items).collect()] == [(0, 7)]
+    assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, items).collect()} == {1, 2}
+
+
 def test_leaks_of_several_indexes_and_of_nothing(spark, docs, no_docs):
     texts, items = leak_rows(spark)
     whole = {(r[0], r[1]) for r in decontaminate.leaks(texts, items, 0.9).collect()}
