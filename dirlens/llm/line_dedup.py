@@ -9,22 +9,19 @@ segment it shares, by a banded bit-parallel edit distance. A block gives the num
 line and a spanning forest of them, not its pairs. Distances and lengths are in UTF-8 bytes of the
 trimmed line.
 
-Linked and equal lines form classes. A class that stands at `min_places` or more different places
-(lines of the document, number of the line) is boilerplate: all its lines but the first go.
-Copies of a document, however many, stand at the same places, so they stay whole for the
-document-level step that follows.
-
-The pipeline takes `drop_repeated_lines` instead: every line with a word counts, a class is repeated if
-it stands in `MIN_DOCS` or more distinct texts, wherever it stands there, and all its lines but the first
-go. Equal texts count once, and copies of the text with the first line keep theirs too. Near copies are
-left to the document-level step: each line has a sketch of its text, the least hash of the other lines
-there, and a class is not repeated if more than half of its texts share one sketch. Lines of
-`SHORT_BYTES` or fewer are equal or apart; those below `MIN_BYTES` may be one edit apart.
-
-Input cases. Text null or empty: no lines. In the query, lines shorter than `min_bytes` are left alone
-and are in no class. Equal lines, ties: the first is the least (doc_id, number). Repeated rows: each is
-treated alike. A null doc_id sorts last. Rows that share an id, or have none, are told apart by a digest of
-their texts. Other columns are ignored, whatever their names.
+Two lines of `MIN_BYTES` or more are linked within `tau` edits, shorter ones within one, lines of
+`SHORT_BYTES` or fewer only if they are equal. Linked and equal lines form classes. A class that stands in
+`min_docs` or more distinct texts, wherever it stands there, is repeated: all its lines but the first go.
+Equal texts count once.
+
+The pipeline takes `drop_repeated_lines`, which leaves copies to the document-level step: copies of the text
+with the first line keep theirs too, and each line has a sketch of its text, the least hash of the other lines
+there; a class of which more than half of the texts share one sketch is taken for one of near copies and stays.
+
+Input cases. Text null or empty: no lines. Lines without a word are in no class. Equal lines, ties: the
+first is the least (doc_id, number). Repeated rows: each is treated alike. A null doc_id sorts last. Rows that
+share an id, or have none, are told apart by a digest of their texts. Other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -39,9 +36,9 @@ from pyspark.sql import functions as F
 from dirlens.llm import tables, text
 from dirlens.llm.groups import whole_groups
 
-TAU, MIN_BYTES, MIN_PLACES = 2, 20, 12
-#: Of the pipeline's rule: distinct texts from which a line is repeated; the bytes up to which only equal lines are.
-MIN_DOCS, SHORT_BYTES = 8, 9
+#: Edits between lines of MIN_BYTES or more; the bytes up to which only equal lines are linked; distinct texts
+#: from which a line is repeated.
+TAU, MIN_BYTES, SHORT_BYTES, MIN_DOCS = 2, 20, 9, 8
 #: Lines of one list compared pair by pair in one block.
 BLOCK = 256
 #: Bits of the filter over repeated lists; it is broadcast, so its size is fixed (4 MB). Where it
@@ -228,16 +225,17 @@ def first_shared(short: bytes, long: bytes, tau: int, until: int) -> int:
     return until
 
 
-def _compare(tau: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _compare(tau: int, max_bytes: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (key, i, j, block, line, own, body) in order of (key, i, j) to (a, b, n): a forest of links, and of
     each line, with b null, the number of its links found here. own: the number of the own segment, or -1.
 
     A pair is looked at in one list only, that of the first segment of the shorter line, or of the one with the
-    lesser hash, that the other shares.
+    lesser hash, that the other shares. Pairs of two lines of max_bytes are left out.
     """
+    most = float("inf") if max_bytes is None else max_bytes
 
     def links(line: list[int], own: list[int], bodies: list[bytes], block: list[int], across: bool) -> Iterator[tuple[int, int]]:
-        for x in (k for k, segment in enumerate(own) if segment >= 0):
+        for x in (k for k, segment in enumerate(own) if segment >= 0 and len(bodies[k]) < most):
             mine, rank = bodies[x], (len(bodies[x]), line[x])
             for y, other in enumerate(bodies):
                 if rank >= (len(other), line[y]) or len(other) - rank[0] > tau or across and block[x] == block[y]:
@@ -285,7 +283,8 @@ def _filter(lists: DataFrame) -> bytes:
 
 def edit_links(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Of the distinct lines of docs (text) of min_bytes to max_bytes, by their hashes: pairs (a, b) that connect
-    all lines within tau edits of each other, and (line, n_links), the number of such lines of each that has any."""
+    all lines within tau edits of each other, and (line, n_links), the number of such lines of each that has any.
+    Two lines of max_bytes are not compared with each other."""
     posted = docs.select("text").mapInArrow(_keys(tau, min_bytes, max_bytes), "key long, line long")
     lists = posted.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key")
     passing = docs.sparkSession.sparkContext.broadcast(_filter(lists))
@@ -295,51 +294,44 @@ def edit_links(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, max_
     size = members.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("most")).where("n > 1 and most >= 0").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     own = members.join(size, "key").withColumn("block", F.pmod(F.hash("line"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "line", "own", "body").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    found = tables.cut(dealt.mapInArrow(_compare(tau), "a long, b long, n long"))
+    found = tables.cut(dealt.mapInArrow(_compare(tau, max_bytes), "a long, b long, n long"))
     degree = found.where("b is null").groupBy(F.col("a").alias("line")).agg(F.sum("n").alias("n_links"))
     return found.where("b is not null").select("a", "b").distinct(), degree
 
 
-def _classified(docs: DataFrame, tau: int, min_bytes: int, min_places: int) -> DataFrame:
-    """line_classes of docs (doc_id, text), and the digest of each row's text as `copy`."""
-    links, degree = edit_links(docs, tau, min_bytes)
-    named = tables.components(tables.cut(links)).withColumnRenamed("id", "line").join(degree, "line")
-    found = docs.withColumn("copy", digest()).mapInArrow(_occurrences(min_bytes), "doc_id long, line_no int, n_lines int, line long, sketch long, copy binary")
-    lines = tables.cut(found.join(named, "line", "left").select("doc_id", "copy", "line_no", "n_lines", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    places = lines.groupBy("class", "n_lines", "line_no").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"))
-    classes = places.groupBy("class").agg(F.count("*").alias("n_places"), F.sum("n").alias("n"), F.min(F.struct(F.col("d").isNull().alias("unnamed"), "d", "line_no")).alias("first"))
-    out = lines.join(classes.where("n > 1"), "class", "left")
-    first_doc = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.d"))
-    first_line = F.when(F.col("first").isNull(), F.col("line_no")).otherwise(F.col("first.line_no"))
-    own = F.col("doc_id").eqNullSafe(first_doc) & (F.col("line_no") == first_line)
-    n_places = F.coalesce("n_places", F.lit(1)).cast("long")
-    return out.select("copy", "doc_id", "line_no", first_doc.alias("class_doc_id"), first_line.alias("class_line_no"), "n_links", n_places.alias("n_places"), ((n_places >= min_places) & ~own).alias("removed"))
-
-
 def digest() -> Column:
     """A 128-bit digest of a text: rows that share an id, or have none, are told apart by it."""
     return F.unhex(F.md5("text"))
 
 
-def line_classes(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, min_places: int = MIN_PLACES) -> DataFrame:
-    """One row for each line of min_bytes or more: doc_id, line_no, class_doc_id, class_line_no, n_links, n_places, removed."""
-    return _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tau, min_bytes, min_places).drop("copy")
-
+def links_of_all(docs: DataFrame, tau: int = TAU) -> tuple[DataFrame, DataFrame]:
+    """edit_links of the distinct lines of every length: pairs (a, b) and (line, n_links)."""
+    long, short = edit_links(docs, tau), edit_links(docs, 1, SHORT_BYTES + 1, MIN_BYTES)
+    return long[0].unionAll(short[0]).distinct(), long[1].unionAll(short[1]).groupBy("line").agg(F.sum("n_links").alias("n_links"))
 
-def drop_boilerplate(docs: DataFrame, tau: int = TAU, min_bytes: int = MIN_BYTES, min_places: int = MIN_PLACES) -> DataFrame:
-    """docs (doc_id, text, ...) without boilerplate lines; every other byte of a text stays as it is.
 
-    A document left without a word goes; one that had none before stays.
-    """
-    found = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tau, min_bytes, min_places)
-    return _without(docs, found.where("removed"))
+def line_classes(docs: DataFrame, tau: int = TAU, min_docs: int = MIN_DOCS) -> DataFrame:
+    """One row for each line with a word: doc_id, line_no, class_doc_id, class_line_no, n_links, n_docs, removed."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    links, degree = links_of_all(docs, tau)
+    named = tables.components(tables.cut(links)).withColumnRenamed("id", "line").join(degree, "line")
+    found = docs.withColumn("copy", digest()).mapInArrow(_occurrences(1), "doc_id long, line_no int, n_lines int, line long, sketch long, copy binary")
+    lines = tables.cut(found.join(named, "line", "left").select("doc_id", "copy", "line_no", F.coalesce("component", "line").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("d"), "line_no")
+    texts = lines.groupBy("class", "copy").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    classes = texts.groupBy("class").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n"), F.min("first").alias("first"))
+    out = lines.join(classes.where("n > 1"), "class", "left")
+    first_doc = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.d"))
+    first_line = F.when(F.col("first").isNull(), F.col("line_no")).otherwise(F.col("first.line_no"))
+    own = F.col("doc_id").eqNullSafe(first_doc) & (F.col("line_no") == first_line)
+    n_docs = F.coalesce("n_docs", F.lit(1)).cast("long")
+    return out.select("doc_id", "line_no", first_doc.alias("class_doc_id"), first_line.alias("class_line_no"), "n_links", n_docs.alias("n_docs"), ((n_docs >= min_docs) & ~own).alias("removed"))
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, digest of the text (copy) and line_no of the lines of docs (doc_id, text) to remove as repeated."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    links = edit_links(docs)[0].unionAll(edit_links(docs, 1, SHORT_BYTES + 1, MIN_BYTES)[0])
-    label = tables.components(tables.cut(links.distinct()))
+    label = tables.components(tables.cut(links_of_all(docs)[0]))
     found = docs.withColumn("copy", digest()).mapInArrow(_occurrences(1), "doc_id long, line_no int, n_lines int, line long, sketch long, copy binary")
     lines = tables.cut(found.join(label.withColumnRenamed("id", "line"), "line", "left").select("doc_id", "line_no", "copy", "sketch", F.coalesce("component", "line").alias("class")))
     texts = lines.groupBy("class", "copy").agg(F.min("sketch").alias("sketch"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first"))
@@ -350,7 +342,10 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs (doc_id, text, ...) without repeated lines, as drop_boilerplate."""
+    """docs (doc_id, text, ...) without repeated lines; every other byte of a text stays as it is.
+
+    A document left without a word goes; one that had none before stays.
+    """
     return _without(docs, repeated_lines(docs, min_docs))
 
 
@@ -372,19 +367,19 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = f"""
 WITH RECURSIVE parts AS (
-  SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''
+  SELECT doc_id, md5(text) AS copy, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''
 ), raw AS (
-  SELECT doc_id, len(ls) AS n_lines, unnest(ls) AS l, generate_subscripts(ls, 1) - 1 AS line_no FROM parts
+  SELECT doc_id, copy, unnest(ls) AS l, generate_subscripts(ls, 1) - 1 AS line_no FROM parts
 ), lines AS (
-  SELECT doc_id, n_lines, line_no, trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM raw
-), long AS (
-  SELECT * FROM lines WHERE strlen(line) >= {MIN_BYTES}
+  SELECT doc_id, copy, line_no, trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM raw
+), worded AS (
+  SELECT * FROM lines WHERE line <> ''
 ), one AS (
-  SELECT DISTINCT line, strlen(line) AS n FROM long
+  SELECT DISTINCT line, strlen(line) AS n FROM worded WHERE strlen(line) > {SHORT_BYTES}
 ), links AS (
   SELECT a.line AS a, b.line AS b FROM one a JOIN one b
   ON b.n BETWEEN a.n - {TAU} AND a.n + {TAU} AND a.line <> b.line
-  WHERE levenshtein(a.line, b.line) <= {TAU}
+  WHERE levenshtein(a.line, b.line) <= CASE WHEN least(a.n, b.n) >= {MIN_BYTES} THEN {TAU} ELSE 1 END
 ), reach AS (
   SELECT a AS line, a AS other FROM links UNION SELECT r.line, l.b FROM reach r JOIN links l ON r.other = l.a
 ), label AS (
@@ -392,13 +387,13 @@ WITH RECURSIVE parts AS (
 ), degree AS (
   SELECT a AS line, count(*) AS n_links FROM links GROUP BY a
 ), named AS (
-  SELECT g.doc_id, g.n_lines, g.line_no, coalesce(l.class, g.line) AS class, coalesce(d.n_links, 0) AS n_links
-  FROM long g LEFT JOIN label l USING (line) LEFT JOIN degree d USING (line)
+  SELECT g.doc_id, g.copy, g.line_no, coalesce(l.class, g.line) AS class, coalesce(d.n_links, 0) AS n_links
+  FROM worded g LEFT JOIN label l USING (line) LEFT JOIN degree d USING (line)
 ), classes AS (
-  SELECT class, count(DISTINCT (n_lines, line_no)) AS n_places, min((doc_id, line_no)) AS first FROM named GROUP BY class
+  SELECT class, count(DISTINCT copy) AS n_docs, min((doc_id, line_no)) AS first FROM named GROUP BY class
 )
 SELECT n.doc_id, CAST(n.line_no AS INTEGER) AS line_no, c.first[1] AS class_doc_id, CAST(c.first[2] AS INTEGER) AS class_line_no,
-  CAST(n.n_links AS BIGINT) AS n_links, CAST(c.n_places AS BIGINT) AS n_places,
-  c.n_places >= {MIN_PLACES} AND (n.doc_id, n.line_no) <> c.first AS removed
+  CAST(n.n_links AS BIGINT) AS n_links, CAST(c.n_docs AS BIGINT) AS n_docs,
+  c.n_docs >= {MIN_DOCS} AND (n.doc_id, n.line_no) <> c.first AS removed
 FROM named n JOIN classes c USING (class)
 """

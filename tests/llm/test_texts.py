@@ -223,8 +223,8 @@ def test_banded_distance():
             assert line_dedup.edits_within(a, bytes(b), tau) == (distance(a, b) <= tau)
 
 
-def line_rows(rows, min_bytes):
-    return [(r["doc_id"], t.count("\n") + 1, i, x.strip(" \t\r\x0b\x0c").encode()) for r in rows for t in [r["text"] or ""] for i, x in enumerate(t.split("\n")) if len(x.strip(" \t\r\x0b\x0c").encode()) >= min_bytes]
+def line_rows(rows):
+    return [(r["doc_id"], t, i, x.strip(" \t\r\x0b\x0c").encode()) for r in rows for t in [r["text"] or ""] for i, x in enumerate(t.split("\n")) if x.strip(" \t\r\x0b\x0c")]
 
 
 @pytest.mark.parametrize("tau,block", [(2, 256), (1, 2)])
@@ -235,16 +235,21 @@ def test_line_classes(spark, docs, tau, block):
         x = list("the same line stands here again")
         for _ in range(rng.randint(0, 3)):
             x[rng.randrange(len(x))] = rng.choice("xyz")
-        more.append((1000 + i, "first\n" * (i % 7) + "".join(x), None, None, None, *([None] * 12)))
+        y = list("a line of twenty one" if i % 3 else "lines below 20")  # 20 bytes, 14, and fewer by an edit
+        for _ in range(rng.randint(0, 2)):
+            y[rng.randrange(len(y))] = rng.choice(["", "x", "yz"])
+        more.append((1000 + i, "first\n" * (i % 7) + "".join(x) + "\n" + "".join(y) + "\n short" + "y" * (i % 2) + "\n", None, None, None, *([None] * 12)))
     all_docs = docs.unionAll(spark.createDataFrame(more, docs.schema))
-    lines = line_rows(all_docs.collect(), 20)
+    lines = line_rows(all_docs.collect())
     one = sorted({x[3] for x in lines})
-    links = [(a, b) for i, a in enumerate(one) for b in one[:i] if abs(len(a) - len(b)) <= tau and distance(a, b) <= tau]
+    most = lambda a, b: tau if min(len(a), len(b)) >= 20 else 1
+    links = [(a, b) for i, a in enumerate(one) for b in one[:i] if min(len(a), len(b)) > 9 and abs(len(a) - len(b)) <= most(a, b) and distance(a, b) <= most(a, b)]
+    assert any(len(a) == len(b) == 20 for a, b in links) and any({len(a), len(b)} == {19, 20} for a, b in links) and any(len(a) < 19 for a, b in links)
     degree = Counter(x for pair in links for x in pair)
     group = unite(links, one)
-    places, first = defaultdict(set), {}
-    for d, n, i, x in lines:
-        places[group[x]].add((n, i))
+    texts, first = defaultdict(set), {}
+    for d, t, i, x in lines:
+        texts[group[x]].add(t)
         key = (d is None, d or 0, i)
         first[group[x]] = min(first.get(group[x], key), key)
     expected = []
@@ -252,31 +257,40 @@ def test_line_classes(spark, docs, tau, block):
         g = group[x]
         unnamed, fd, fi = first[g]
         fd = None if unnamed else fd
-        expected.append((d, i, fd, fi, degree[x], len(places[g]), len(places[g]) >= 5 and (d, i) != (fd, fi)))
+        expected.append((d, i, fd, fi, degree[x], len(texts[g]), len(texts[g]) >= 5 and (d, i) != (fd, fi)))
     before, line_dedup.BLOCK = line_dedup.BLOCK, block
     try:
-        found = [tuple(r) for r in line_dedup.line_classes(all_docs, tau, 20, 5).collect()]
+        found = [tuple(r) for r in line_dedup.line_classes(all_docs, tau, 5).collect()]
     finally:
         line_dedup.BLOCK = before
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
-def test_drop_boilerplate(docs, no_docs):
+def test_a_line_at_one_place_of_many_documents(spark):
+    """A last line of texts of the same form, long or short, goes from all but the first; copies count once."""
+    rows = [(i, f"own line number {i * 7919} of it\nAnd {i}.\nLes.\nThe end of every document.") for i in range(30)]
+    rows += [(100 + i, "a copy\nwith lines that only copies have") for i in range(50)]
+    found = line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).where("removed").collect()
+    assert {(r["doc_id"], r["line_no"]) for r in found} >= {(i, k) for i in range(1, 30) for k in (2, 3)}
+    assert not [r for r in found if r["doc_id"] in (0, *range(100, 150))]
+
+
+def test_drop_repeated_lines(docs, no_docs):
     rows = docs.collect()
-    gone = {(r["doc_id"], r["line_no"]) for r in line_dedup.line_classes(docs, min_places=5).where("removed").collect()}
+    gone = {(r["doc_id"], bytes(r["copy"]), r["line_no"]) for r in line_dedup.repeated_lines(docs, 3).collect()}
     assert gone
     expected = []
     for r in rows:
-        t = r["text"]
-        if t is not None and any(d == r["doc_id"] for d, _ in gone):
-            t = "\n".join(x for i, x in enumerate(t.split("\n")) if (r["doc_id"], i) not in gone)
+        t, copy = r["text"], hashlib.md5((r["text"] or "").encode()).digest()
+        if t is not None and any((d, c) == (r["doc_id"], copy) for d, c, _ in gone):
+            t = "\n".join(x for i, x in enumerate(t.split("\n")) if (r["doc_id"], copy, i) not in gone)
             if not t.strip():
                 continue
         expected.append((*tuple(r)[:1], t, *tuple(r)[2:]))
-    found = line_dedup.drop_boilerplate(docs, min_places=5)
+    found = line_dedup.drop_repeated_lines(docs, 3)
     assert found.columns == docs.columns
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
-    assert line_dedup.drop_boilerplate(no_docs).collect() == []
+    assert line_dedup.drop_repeated_lines(no_docs).collect() == [] and line_dedup.line_classes(no_docs).collect() == []
 
 
 def test_equal_spans_have_equal_hashes():
