@@ -146,6 +146,8 @@ class Index:
             found = self.held(own, np.repeat(block, many))
             bound = np.add.reduceat(np.where(found >= 0, self.maxima[found], 0), begin, dtype=np.float64)
             good = bound >= lowest[block]
+            if not good.any():
+                continue
             found = found[np.repeat(good, many)]
             at = np.repeat(np.arange(good.sum()), many[good])[found >= 0]
             found = found[found >= 0]

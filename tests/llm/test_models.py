@@ -221,6 +221,18 @@ def test_one_changed_word_hides_no_item(spark, at):
     assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, items).collect()} == {1, 2}
 
 
+def test_a_batch_of_which_no_block_is_left(spark):
+    """The bound of a block reaches its threshold until the terms before the pivot are looked up."""
+    texts = ["w11", "w2", "w3", "w13 w1 w2", "w0 w14", "w5 w5 w0 w1 w4 w1 w0 w0 w3 w7", "w11 w0", "w10 w1 w14", "w12 w0 w0"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    for text, item in (("w7 w0", None), ("W7, w0 w14", 4)):
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        expected = {x[:2] for x in brute_leaks(docs.collect(), items.collect())}
+        assert expected == ({(1, item)} if item else set())
+        assert {(r[0], r[1]) for r in decontaminate.leaks(docs, items).collect()} == expected
+        assert decontaminate.drop_leaks(docs, items).count() == (not expected)
+
+
 def test_leaks_of_several_indexes_and_of_nothing(spark, docs, no_docs):
     texts, items = leak_rows(spark)
     whole = {(r[0], r[1]) for r in decontaminate.leaks(texts, items, 0.9).collect()}
