@@ -9,12 +9,16 @@ number of equal coordinates that such a pair misses with a probability below 1e-
    counted, and each set is confirmed against the pivot it collides with most. A large group of
    copies is joined to its pivot here, and its lists are done.
 2. merge: in lists whose members are still in two or more components, pairs with `matches` equal
-   coordinates join components into clusters.
+   coordinates join components into clusters. Members of lists larger than a block meet in blocks of
+   their list first; those still apart are posted anew, by all coordinates, each under those that are
+   the rarest among them: so many that any two with `matches` equal ones share one (see `rarest`).
+   So texts that have a passage in common and little else are not compared with each other.
 3. confirm: the members of each cluster meet, with their texts, and pairs at the threshold join
    components.
 
 Both deal their members into blocks of bounded size, first inside blocks and then, dealt again by
-component, across those that are not of one component yet (see `joined`). A block gives a spanning
+component, across those that are not of one component yet (see `joined`); 2 does the latter in the lists
+of rarest coordinates. A block gives a spanning
 forest of pairs of component names. So a group of near copies of which a block's worth stays apart
 is sent a fixed number of times; only members of one cluster that stay unlinked in great numbers meet
 block by block. Every link is confirmed on the full shingle sets. Sets are told apart by 64-bit
@@ -241,7 +245,53 @@ def _by_text(n: int, num: int, den: int) -> Callable[[np.ndarray, pa.Array], lis
     return pairs
 
 
-def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable[[np.ndarray, pa.Array], list[tuple[int, int]]]) -> DataFrame:
+def _coordinates(coordinates: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (v, component, signature) to (v, component, keys): a key for each coordinate and its value."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = text.buffers(batch.column(2))[0].view(np.uint32).reshape(-1, coordinates)
+            keys = (values.astype(np.int64) << 8) | np.arange(coordinates)
+            many = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * coordinates)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(many, pa.array(keys.ravel()))], names=["v", "component", "keys"])
+
+    return work
+
+
+def rarest_keys(keys: np.ndarray, often: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """Of each row of keys the first `most` by (count, key); keys that are not in the sorted `often` count 0."""
+    count = np.zeros(keys.shape, dtype=np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, keys), len(often) - 1)
+        count = np.where(often[at] == keys, counts[at], 0)
+    order = np.lexsort((keys, count), axis=1)[:, :most]
+    return np.take_along_axis(keys, order, axis=1)
+
+
+def rarest(members: DataFrame, signature: DataFrame, coordinates: int, least: int, size: int) -> DataFrame:
+    """(key, v, component): members (v, component) under their rarest coordinates. signature: (v, payload).
+
+    Of two signatures with `least` equal coordinates, each has coordinates - least others. So in any one order
+    of all keys, the first coordinates - least + 1 of each have a common one. The order here is by the
+    number of members that have the key, as far as they are more than a block; only these counts are sent.
+    """
+    own = tables.cut(members.join(signature, "v").select("v", "component", "payload").mapInArrow(_coordinates(coordinates), "v long, component long, keys array<long>"))
+    counts = own.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > size).toArrow().sort_by("key")
+    shared = members.sparkSession.sparkContext.broadcast((counts["key"].to_numpy(), counts["n"].to_numpy()))
+    most = coordinates - least + 1
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = rarest_keys(batch.column(2).flatten().to_numpy().reshape(-1, coordinates), *shared.value, most)
+            many = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * most)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(many, pa.array(keys.ravel()))], names=["v", "component", "keys"])
+
+    return own.mapInArrow(first, "v long, component long, keys array<long>").select(F.explode("keys").alias("key"), "v", "component")
+
+
+def joined(
+    members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable[[np.ndarray, pa.Array], list[tuple[int, int]]], finer: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(id, component): what `pairs_of` makes of the components within the keys of members (key, v, component).
 
     As tables.components: components that are joined with others, and the name they have now. payload: (v, payload). All pairs of members of a key in different components are looked at, in two
@@ -250,6 +300,9 @@ def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable
     own, small ones share theirs, and pairs of blocks are looked at unless both are of one component.
     So where the first round joins nearly all, members meet the few that are left once. What is sent
     is one row for a member and block it meets, and pairs of component names, not of members.
+
+    `finer` makes, of the members (v, component) of large keys in different components, members of finer keys
+    under which all pairs of theirs that `pairs_of` joins meet. With it the second round is that of the finer keys.
     """
 
     def look(rows: DataFrame) -> DataFrame:
@@ -267,6 +320,9 @@ def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable
         return up
     now = large.join(up.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left")
     now = tables.cut(now.select("key", "v", F.coalesce("up", "component").alias("component")))
+    if finer:
+        apart = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        return _renamed(up, joined(finer(now.join(apart, "key").select("v", "component").distinct()), payload, size, pairs_of))
     parts = now.groupBy("key", "component").agg(count)
     keys = parts.groupBy("key").agg(F.sum(F.when(F.col("n") < size, F.col("n"))).alias("small"), count.alias("parts")).where("parts > 1")
     alone = F.col("n") >= size
@@ -276,6 +332,11 @@ def joined(members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable
     other = blocks.select("key", F.col("block").alias("other"), F.col("only").alias("its"))
     meets = blocks.join(other, "key").where(~F.coalesce(F.col("only") == F.col("its"), F.lit(False))).select("key", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     more = tables.components(look(dealt.join(meets, ["key", "block"]).select("key", "i", "j", "component", "v")))
+    return _renamed(up, more)
+
+
+def _renamed(up: DataFrame, more: DataFrame) -> DataFrame:
+    """(id, component) of `up`, then of `more`, whose ids are components of `up` or not in it."""
     both = up.join(more.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "full_outer")
     return tables.cut(both.select(F.coalesce("id", "component").alias("id"), F.coalesce("top", "component").alias("component")))
 
@@ -326,7 +387,8 @@ def _grouped(docs: DataFrame, n: int, num: int, den: int, coordinates: int) -> D
     def component_of(rows: DataFrame) -> DataFrame:
         return rows.join(label.withColumnRenamed("id", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
 
-    near = joined(component_of(listed.select("key", "v")), chosen.select("v", F.col("signature").alias("payload")), BLOCK, _by_signature(coordinates, least))
+    signature = chosen.select("v", F.col("signature").alias("payload"))
+    near = joined(component_of(listed.select("key", "v")), signature, BLOCK, _by_signature(coordinates, least), lambda rows: rarest(rows, signature, coordinates, least, BLOCK))
     cluster = near.select(F.col("id").alias("component"), F.col("component").alias("key"))
     members = component_of(chosen.select("v")).join(cluster, "component")
     # texts are joined in the same way at every size: members outgrow a broadcast as a corpus grows

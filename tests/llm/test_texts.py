@@ -104,6 +104,55 @@ def test_edges_of_near_copies_grow_with_their_number(spark, monkeypatch):
     assert counts[1] <= 4.5 * counts[0]
 
 
+def test_a_passage_in_many_texts_sends_them_a_fixed_number_of_times(spark, monkeypatch):
+    """Four times the texts with a passage in common, else apart but for some near copies, are about four times the rows in blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    sent, whole = spark.sparkContext.accumulator(0), near_dedup._in_groups
+
+    def counted(pairs_of):
+        work = whole(pairs_of)
+
+        def add(batches):
+            def each():
+                for batch in batches:
+                    sent.add(batch.num_rows)
+                    yield batch
+
+            yield from work(each())
+
+        return add
+
+    monkeypatch.setattr(near_dedup, "_in_groups", counted)
+    counts = []
+    for n in (300, 1200):
+        rng, rows = random.Random(n), []
+        for i in range(n):
+            own = [f"w{rng.randrange(100_000)}" for _ in range(40)]
+            if i % 10 == 9:
+                own = [*rows[-1][1].split()[8:-1], "changed"]
+            rows.append((i, " ".join([*"a passage of eight words that all have".split(), *own])))
+        before = sent.value
+        found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85).collect()}
+        counts.append(sent.value - before)
+        assert found == {i: i - (i % 10 == 9) for i in range(n)}
+    assert counts[1] <= 5 * counts[0], counts
+
+
+def test_rarest_keys_share_one():
+    """Two rows with `least` equal keys have a common one among their first, whatever is known of the counts."""
+    rng = np.random.default_rng(3)
+    coordinates, least = 32, near_dedup.matches_needed(32, 85, 100)
+    keys = (rng.integers(0, 40, (300, coordinates)) << 8) | np.arange(coordinates)
+    for i in range(0, 300, 2):
+        same = rng.permutation(coordinates)[:least]
+        keys[i + 1, same] = keys[i, same]
+    every, count = np.unique(keys, return_counts=True)
+    for often, counts in ((every, count), (every[count > 9], count[count > 9]), (every[:0], count[:0])):
+        first = near_dedup.rarest_keys(keys, often, counts, coordinates - least + 1)
+        assert first.shape == (300, coordinates - least + 1)
+        assert all(set(a) & set(b) for a, b in zip(first[::2].tolist(), first[1::2].tolist(), strict=True))
+
+
 def test_one_of_each(docs):
     """The least id of each component, one of repeated rows, and all rows without a word, with all their columns."""
     rows = docs.collect()
