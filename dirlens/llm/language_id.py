@@ -35,6 +35,8 @@ BUCKETS = 1 << BITS
 SMOOTHING = 0.1
 UNDETERMINED = "und"
 MOST_SURPRISE, DEVIATIONS = 3.0, 4.0
+#: Bytes of texts looked at together; a longer text stands alone. A worker holds about 100 bytes for each.
+CHUNK = 1 << 18
 
 _letters: list[np.ndarray] = []
 
@@ -64,7 +66,7 @@ def ngrams(texts: list[str | None]) -> tuple[list[tuple[np.ndarray, np.ndarray]]
     return out, some
 
 
-def _chunks(array: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]:
+def _chunks(array: pa.Array, most: int = CHUNK) -> Iterator[list[str | None]]:
     _, offsets = text.buffers(array)
     for lo, hi in text.slices(offsets, most):
         yield array.slice(lo, hi - lo).to_pylist()

@@ -7,6 +7,7 @@ import math
 import pickle
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -65,6 +66,20 @@ def test_language_id_of_odd_rows(spark, docs, no_docs):
     assert kept.columns == docs.columns and all(any(c.isalpha() for c in r["text"]) for r in kept.collect())
 
 
+def test_a_large_batch_is_scored_in_bounded_memory():
+    """What scoring holds at once does not reach 40 MB over 4 MB of texts, and the results are those of the texts alone."""
+    rng = np.random.default_rng(6)
+    texts = ["".join(map(chr, rng.integers(97, 123, 4000))) for _ in range(1000)]
+    model = language_id.Model(["a", "b", "c", "d"], rng.integers(0, 50, (language_id.BUCKETS, 4)).astype(float), np.ones(4))
+    language_id.is_letter()
+    tracemalloc.start()
+    found = [x for some in language_id._chunks(pa.array(texts)) for x in zip(*model.judge(some), strict=True)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6, peak
+    assert len(found) == len(texts) and all(found[i] == tuple(x[0] for x in model.judge([texts[i]])) for i in (0, 499, 999))
+
+
 def test_texts_in_no_learned_language_go(spark):
     rng = np.random.default_rng(5)
     letters = lambda a, n: " ".join("".join(rng.choice(list(a), rng.integers(2, 9))) for _ in range(n))
