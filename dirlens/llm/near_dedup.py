@@ -12,7 +12,8 @@ number of equal coordinates that such a pair misses with a probability below 1e-
    coordinates join components into clusters. Members of lists larger than a block meet in blocks of
    their list first; those still apart are posted anew, by all coordinates, each under those that are
    the rarest among them: so many that any two with `matches` equal ones share one (see `rarest`).
-   So texts that have a passage in common and little else are not compared with each other.
+   So texts that have a passage in common and little else are not compared with each other: of
+   their coordinates too few are those of another component, and they are not even posted.
 3. confirm: the members of each cluster meet, with their texts, and pairs at the threshold join
    components.
 
@@ -48,6 +49,8 @@ COORDINATES = 32
 #: with one pivot in one task; shingles to a matrix product.
 BLOCK, TEXTS, STAR, COLUMNS = 1024, 256, 512, 4096
 MISS = 1e-6
+#: Places of coordinate values, a bit each in a broadcast (4 MB), and places to a slice.
+PLACE_BITS, SLICE = 25, 1 << 17
 
 
 def matches_needed(coordinates: int, num: int, den: int, miss: float = MISS) -> int:
@@ -258,12 +261,68 @@ def _coordinates(coordinates: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return work
 
 
-def rarest_keys(keys: np.ndarray, often: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
-    """Of each row of keys the first `most` by (count, key); keys that are not in the sorted `often` count 0."""
+def places(keys: np.ndarray) -> np.ndarray:
+    """A place below 2**PLACE_BITS for each key."""
+    return (text.mix(keys.astype(np.int64, copy=False).view(np.uint64)) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+
+
+def _gathered(coordinates: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (v, component, keys) to (slice, body): for each place its least and greatest component and its number of keys."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place, component = places(batch.column(2).flatten().to_numpy()), np.repeat(batch.column(1).to_numpy(), coordinates)
+            order = np.argsort(place, kind="stable")
+            place, component = place[order], component[order]
+            at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            rows = np.stack([place[at], np.minimum.reduceat(component, at), np.maximum.reduceat(component, at), np.diff(np.append(at, len(place)))], axis=1)
+            part, first = np.unique(place[at] // SLICE, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([x.tobytes() for x in np.split(rows, first[1:])], pa.binary())], names=["slice", "body"])
+
+    return work
+
+
+def _summed(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of `_gathered` in order of slice to (slice, bits, often): a bit for each place with two components, and those with more than `size` keys."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, at in whole_groups(batches, 1):
+            names, body = table.column(0).to_numpy(), table.column(1).combine_chunks()
+            for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                rows = text.buffers(body.slice(s, e - s))[0].view(np.int64).reshape(-1, 4)
+                low, high, n = np.full(SLICE, np.iinfo(np.int64).max), np.full(SLICE, np.iinfo(np.int64).min), np.zeros(SLICE, dtype=np.int64)
+                place = rows[:, 0] - names[s] * SLICE
+                np.minimum.at(low, place, rows[:, 1])
+                np.maximum.at(high, place, rows[:, 2])
+                np.add.at(n, place, rows[:, 3])
+                apart = low < high
+                many = np.flatnonzero(apart & (n > size))
+                often = np.stack([many + names[s] * SLICE, n[many]], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([names[s]]), pa.array([np.packbits(apart, bitorder="little").tobytes()]), pa.array([often.tobytes()], pa.binary())], names=["slice", "bits", "often"])
+
+    return work
+
+
+def apart(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each key's place has members of two components."""
+    place = places(keys)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def rarest_keys(keys: np.ndarray, often: np.ndarray, counts: np.ndarray, most: int, names: np.ndarray | None = None, useful: np.ndarray | None = None) -> np.ndarray:
+    """Of each row of keys the first `most` by (count, key); keys whose names are not in the sorted `often` count 0, those not useful less.
+
+    names: by default the keys themselves.
+    """
+    names = keys if names is None else names
     count = np.zeros(keys.shape, dtype=np.int64)
     if len(often):
-        at = np.minimum(np.searchsorted(often, keys), len(often) - 1)
-        count = np.where(often[at] == keys, counts[at], 0)
+        at = np.minimum(np.searchsorted(often, names), len(often) - 1)
+        count = np.where(often[at] == names, counts[at], 0)
+    if useful is not None:
+        count[~useful] = -1
     order = np.lexsort((keys, count), axis=1)[:, :most]
     return np.take_along_axis(keys, order, axis=1)
 
@@ -271,20 +330,37 @@ def rarest_keys(keys: np.ndarray, often: np.ndarray, counts: np.ndarray, most: i
 def rarest(members: DataFrame, signature: DataFrame, coordinates: int, least: int, size: int) -> DataFrame:
     """(key, v, component): members (v, component) under their rarest coordinates. signature: (v, payload).
 
-    Of two signatures with `least` equal coordinates, each has coordinates - least others. So in any one order
-    of all keys, the first coordinates - least + 1 of each have a common one. The order here is by the
-    number of members that have the key, as far as they are more than a block; only these counts are sent.
+    Of two signatures with `least` equal keys, each has coordinates - least others. So in any one order
+    of all keys, the first coordinates - least + 1 of each have a common one. The order here begins with the keys that
+    members of one component alone have. Such a key joins nothing, so it is not posted; and a member with fewer than
+    `least` other keys matches none of another component and is not posted at all. Then comes the number of members that
+    have the key, as far as they are more than a block.
+
+    Components and members are counted by place, a hash of the key: keys that share a place are taken for one, which can
+    only post more. A task sends one row for each of the slices of places that a batch of its members has; the driver gets
+    a bit for each place, and the counts above a block.
     """
     own = tables.cut(members.join(signature, "v").select("v", "component", "payload").mapInArrow(_coordinates(coordinates), "v long, component long, keys array<long>"))
-    counts = own.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > size).toArrow().sort_by("key")
-    shared = members.sparkSession.sparkContext.broadcast((counts["key"].to_numpy(), counts["n"].to_numpy()))
+    parts = own.mapInArrow(_gathered(coordinates), "slice long, body binary").repartition("slice").sortWithinPartitions("slice")
+    found = parts.mapInArrow(_summed(size), "slice long, bits binary, often binary").toArrow()
+    bits = np.zeros((1 << PLACE_BITS) // 8, dtype=np.uint8).reshape(-1, SLICE // 8)
+    for part, body in zip(found["slice"].to_pylist(), found["bits"].to_pylist(), strict=True):
+        bits[part] = np.frombuffer(body, dtype=np.uint8)
+    often = np.frombuffer(b"".join(found["often"].to_pylist()), dtype=np.int64).reshape(-1, 2)
+    often = often[np.argsort(often[:, 0])]
+    shared = members.sparkSession.sparkContext.broadcast((bits.ravel(), often[:, 0].copy(), often[:, 1].copy()))
     most = coordinates - least + 1
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, often, counts = shared.value
         for batch in batches:
-            keys = rarest_keys(batch.column(2).flatten().to_numpy().reshape(-1, coordinates), *shared.value, most)
-            many = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * most)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(many, pa.array(keys.ravel()))], names=["v", "component", "keys"])
+            keys = batch.column(2).flatten().to_numpy().reshape(-1, coordinates)
+            useful = apart(keys, bits)
+            some = np.flatnonzero(useful.sum(axis=1) >= least)
+            keys = rarest_keys(keys[some], often, counts, most, places(keys[some]), useful[some])
+            useful = apart(keys, bits)
+            many = pa.array(np.concatenate([[0], np.cumsum(useful.sum(axis=1))]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), batch.column(1).take(pa.array(some)), pa.ListArray.from_arrays(many, pa.array(keys[useful]))], names=["v", "component", "keys"])
 
     return own.mapInArrow(first, "v long, component long, keys array<long>").select(F.explode("keys").alias("key"), "v", "component")
 

@@ -153,6 +153,27 @@ def test_rarest_keys_share_one():
         assert all(set(a) & set(b) for a, b in zip(first[::2].tolist(), first[1::2].tolist(), strict=True))
 
 
+def test_members_that_match_none_are_not_posted(spark):
+    """Members of a passage's list, and of one component, are left out of the lists of rarest coordinates; pairs that match meet."""
+    rng = np.random.default_rng(4)
+    coordinates, least, n = 32, near_dedup.matches_needed(32, 85, 100), 2000
+    values = rng.integers(0, 1 << 32, (n + 100, coordinates), dtype=np.uint32)
+    values[:, :10] = 7
+    for i in range(0, 60, 2):
+        same = rng.permutation(coordinates)[:least]
+        values[i + 1, same] = values[i, same]
+    values[n:] = values[n]
+    component = np.arange(n + 100)
+    component[n:] = n
+    members = spark.createDataFrame([(i, c) for i, c in enumerate(component.tolist())], "v long, component long").repartition(3)
+    signature = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(values)], "v long, payload binary")
+    keys: dict[int, set[int]] = {}
+    for r in near_dedup.rarest(members, signature, coordinates, least, 1024).collect():
+        keys.setdefault(r["v"], set()).add(r["key"])
+    assert all(keys[i] & keys[i + 1] for i in range(0, 60, 2))
+    assert sum(map(len, keys.values())) < n // 2, "17 rows for each member before"
+
+
 def test_one_of_each(docs):
     """The least id of each component, one of repeated rows, and all rows without a word, with all their columns."""
     rows = docs.collect()
