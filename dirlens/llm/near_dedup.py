@@ -51,6 +51,8 @@ BLOCK, TEXTS, STAR, COLUMNS = 1024, 256, 512, 4096
 MISS = 1e-6
 #: Places of coordinate values, a bit each in a broadcast (4 MB), and places to a slice.
 PLACE_BITS, SLICE = 25, 1 << 17
+#: Members whose ids are broadcast, 16 bytes each.
+FEW_MEMBERS = 250_000
 
 
 def matches_needed(coordinates: int, num: int, den: int, miss: float = MISS) -> int:
@@ -266,22 +268,19 @@ def places(keys: np.ndarray) -> np.ndarray:
     return (text.mix(keys.astype(np.int64, copy=False).view(np.uint64)) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
-def _gathered(coordinates: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (v, component, keys) to (slice, body): for each place its least and greatest component and its number of keys."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            place, component = places(batch.column(2).flatten().to_numpy()), np.repeat(batch.column(1).to_numpy(), coordinates)
-            order = np.argsort(place, kind="stable")
-            place, component = place[order], component[order]
-            at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            rows = np.stack([place[at], np.minimum.reduceat(component, at), np.maximum.reduceat(component, at), np.diff(np.append(at, len(place)))], axis=1)
-            part, first = np.unique(place[at] // SLICE, return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([x.tobytes() for x in np.split(rows, first[1:])], pa.binary())], names=["slice", "body"])
-
-    return work
+    for batch in batches:
+        place = places(batch.column(2).flatten().to_numpy())
+        if not len(place):
+            continue
+        component = np.repeat(batch.column(1).to_numpy(), batch.column(2).value_lengths().to_numpy())
+        order = np.argsort(place, kind="stable")
+        place, component = place[order], component[order]
+        at = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        rows = np.stack([place[at], np.minimum.reduceat(component, at), np.maximum.reduceat(component, at), np.diff(np.append(at, len(place)))], axis=1)
+        part, first = np.unique(place[at] // SLICE, return_index=True)
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([x.tobytes() for x in np.split(rows, first[1:])], pa.binary())], names=["slice", "body"])
 
 
 def _summed(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -305,6 +304,18 @@ def _summed(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return work
 
 
+def _counted(own: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For own (v, component, keys): bits of the places with two components; those with more than `size` keys, sorted, and how many."""
+    parts = own.mapInArrow(_gathered, "slice long, body binary").repartition("slice").sortWithinPartitions("slice")
+    found = parts.mapInArrow(_summed(size), "slice long, bits binary, often binary").toArrow()
+    bits = np.zeros(((1 << PLACE_BITS) // SLICE, SLICE // 8), dtype=np.uint8)
+    for part, body in zip(found["slice"].to_pylist(), found["bits"].to_pylist(), strict=True):
+        bits[part] = np.frombuffer(body, dtype=np.uint8)
+    often = np.frombuffer(b"".join(found["often"].to_pylist()), dtype=np.int64).reshape(-1, 2)
+    often = often[np.argsort(often[:, 0])]
+    return bits.ravel(), often[:, 0].copy(), often[:, 1].copy()
+
+
 def apart(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Whether each key's place has members of two components."""
     place = places(keys)
@@ -341,14 +352,7 @@ def rarest(members: DataFrame, signature: DataFrame, coordinates: int, least: in
     a bit for each place, and the counts above a block.
     """
     own = tables.cut(members.join(signature, "v").select("v", "component", "payload").mapInArrow(_coordinates(coordinates), "v long, component long, keys array<long>"))
-    parts = own.mapInArrow(_gathered(coordinates), "slice long, body binary").repartition("slice").sortWithinPartitions("slice")
-    found = parts.mapInArrow(_summed(size), "slice long, bits binary, often binary").toArrow()
-    bits = np.zeros((1 << PLACE_BITS) // 8, dtype=np.uint8).reshape(-1, SLICE // 8)
-    for part, body in zip(found["slice"].to_pylist(), found["bits"].to_pylist(), strict=True):
-        bits[part] = np.frombuffer(body, dtype=np.uint8)
-    often = np.frombuffer(b"".join(found["often"].to_pylist()), dtype=np.int64).reshape(-1, 2)
-    often = often[np.argsort(often[:, 0])]
-    shared = members.sparkSession.sparkContext.broadcast((bits.ravel(), often[:, 0].copy(), often[:, 1].copy()))
+    shared = members.sparkSession.sparkContext.broadcast(_counted(own, size))
     most = coordinates - least + 1
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,8 +369,48 @@ def rarest(members: DataFrame, signature: DataFrame, coordinates: int, least: in
     return own.mapInArrow(first, "v long, component long, keys array<long>").select(F.explode("keys").alias("key"), "v", "component")
 
 
+def _shingled(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (v, component, text) to (v, component, keys): the shingles of each text."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            body, offsets = text.buffers(batch.column(2))
+            for lo, hi in text.slices(offsets):
+                sets, bounds = shingle_sets(text.Words(body, offsets, lo, hi, lower=True), n)
+                keys = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(text.signed(sets)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), keys], names=["v", "component", "keys"])
+
+    return work
+
+
+def linkable(members: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """members (key, v, component) without those that can't be linked with one of another component. texts: (v, payload).
+
+    Two linked sets have num / den of each in common. So a member that has fewer shingles than that which a member of
+    another component has too, in any key, is linked with none of them. Shingles are told apart by place, as in `rarest`.
+    """
+    some = tables.cut(members.select("v", "component").distinct())
+    # few are sent to the texts, which then need no shuffle
+    own = (F.broadcast(some) if some.count() <= FEW_MEMBERS else some).join(texts, "v").select("v", "component", "payload")
+    own = tables.cut(own.mapInArrow(_shingled(n), "v long, component long, keys array<long>"))
+    shared = members.sparkSession.sparkContext.broadcast(_counted(own, 1 << 62)[0])
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = batch.column(2).value_lengths().to_numpy()
+            common = np.bincount(np.repeat(np.arange(len(size)), size), apart(batch.column(2).flatten().to_numpy(), shared.value), len(size))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(den * common >= num * size))], names=["v"])
+
+    return tables.cut(members.join(own.mapInArrow(kept, "v long"), "v", "left_semi"))
+
+
 def joined(
-    members: DataFrame, payload: DataFrame, size: int, pairs_of: Callable[[np.ndarray, pa.Array], list[tuple[int, int]]], finer: Callable[[DataFrame], DataFrame] | None = None
+    members: DataFrame,
+    payload: DataFrame,
+    size: int,
+    pairs_of: Callable[[np.ndarray, pa.Array], list[tuple[int, int]]],
+    finer: Callable[[DataFrame], DataFrame] | None = None,
+    fewer: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, component): what `pairs_of` makes of the components within the keys of members (key, v, component).
 
@@ -379,6 +423,7 @@ def joined(
 
     `finer` makes, of the members (v, component) of large keys in different components, members of finer keys
     under which all pairs of theirs that `pairs_of` joins meet. With it the second round is that of the finer keys.
+    `fewer` leaves out, of the members (key, v, component) of such keys, some that `pairs_of` joins with none of another component.
     """
 
     def look(rows: DataFrame) -> DataFrame:
@@ -396,9 +441,14 @@ def joined(
         return up
     now = large.join(up.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left")
     now = tables.cut(now.select("key", "v", F.coalesce("up", "component").alias("component")))
+    two = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     if finer:
-        apart = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        return _renamed(up, joined(finer(now.join(apart, "key").select("v", "component").distinct()), payload, size, pairs_of))
+        return _renamed(up, joined(finer(now.join(two, "key").select("v", "component").distinct()), payload, size, pairs_of))
+    if fewer:
+        now = tables.cut(now.join(two, "key").select("key", "v", "component"))
+        if now.isEmpty():
+            return up
+        now = fewer(now)
     parts = now.groupBy("key", "component").agg(count)
     keys = parts.groupBy("key").agg(F.sum(F.when(F.col("n") < size, F.col("n"))).alias("small"), count.alias("parts")).where("parts > 1")
     alone = F.col("n") >= size
@@ -468,7 +518,8 @@ def _grouped(docs: DataFrame, n: int, num: int, den: int, coordinates: int) -> D
     cluster = near.select(F.col("id").alias("component"), F.col("component").alias("key"))
     members = component_of(chosen.select("v")).join(cluster, "component")
     # texts are joined in the same way at every size: members outgrow a broadcast as a corpus grows
-    more = joined(members, docs.select(F.col("rid").alias("v"), F.col("text").alias("payload")).hint("merge"), TEXTS, _by_text(n, num, den))
+    texts = docs.select(F.col("rid").alias("v"), F.col("text").alias("payload")).hint("merge")
+    more = joined(members, texts, TEXTS, _by_text(n, num, den), fewer=lambda rows: linkable(rows, texts, n, num, den))
     top = more.select(F.col("id").alias("component"), F.col("component").alias("top"))
     label = tables.cut(component_of(chosen.select("v")).join(top, "component", "left").select(F.col("v").alias("id"), F.coalesce("top", "component").alias("component")))
 

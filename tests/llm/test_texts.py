@@ -174,6 +174,33 @@ def test_members_that_match_none_are_not_posted(spark):
     assert sum(map(len, keys.values())) < n // 2, "17 rows for each member before"
 
 
+def test_short_texts_half_of_which_is_a_passage_meet_few(spark, monkeypatch):
+    """Texts that match by signature but are not linked are sent once or twice, not once a block; near copies among them are found."""
+    monkeypatch.setattr(near_dedup, "TEXTS", 16)
+    sent, whole = spark.sparkContext.accumulator(0), near_dedup._by_text
+
+    def counted(*rule):
+        pairs = whole(*rule)
+
+        def each(component, payload):
+            sent.add(len(payload))
+            return pairs(component, payload)
+
+        return each
+
+    monkeypatch.setattr(near_dedup, "_by_text", counted)
+    rng, rows, n = random.Random(8), [], 600
+    passage = [f"p{i}" for i in range(60)]
+    for i in range(n):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(16)]
+        if i % 10 == 9:
+            own = [*rows[-1][1].split()[60:-1], "changed"]
+        rows.append((i, " ".join([*passage, *own])))
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85).collect()}
+    assert found == {i: i - (i % 10 == 9) for i in range(n)}
+    assert sent.value < 6 * n, sent.value
+
+
 def test_one_of_each(docs):
     """The least id of each component, one of repeated rows, and all rows without a word, with all their columns."""
     rows = docs.collect()
